@@ -29,9 +29,8 @@ def payload_fingerprint(payload: Column | str) -> Column:
     Keys nested deeper do not count. Anything that is not a JSON object gives the
     ``parse_fail`` sentinel.
     """
-    keys = F.json_object_keys(payload)
-    joined = F.concat_ws(",", F.array_sort(F.array_distinct(keys)))
-    return F.when(keys.isNotNull(), F.sha2(joined, 256)).otherwise(PARSE_FAIL)
+    keys = F.sort_array(F.array_distinct(F.json_object_keys(payload)))
+    return F.coalesce(F.sha2(F.array_join(keys, ","), 256), F.lit(PARSE_FAIL))
 
 
 def branch_group(ref: Column | str) -> Column:

@@ -42,10 +42,10 @@ def parse_lines(raw: DataFrame) -> DataFrame:
     ``malformed`` where no identifying field could be read. A line with one wrong-typed
     field stays readable: that field is NULL and the corrupt column holds the text.
     """
-    options = {"columnNameOfCorruptRecord": CORRUPT}
-    parsed = raw.select(
-        "raw_json", "source_file", F.from_json("raw_json", _LINE, options).alias("event")
-    )
+    event = F.from_json("raw_json", _LINE, {"columnNameOfCorruptRecord": CORRUPT})
+    # Filters on event fields must not be pushed below the parse: they would parse the line
+    # again for each of their terms. A one-element explode keeps them above it.
+    parsed = raw.select("raw_json", "source_file", F.explode(F.array(event)).alias("event"))
     unidentified = F.coalesce("event.id", "event.type", "event.created_at").isNull()
     malformed = F.col(f"event.{CORRUPT}").isNotNull() & unidentified
     fault = F.when(F.col("event").isNull(), "blank").when(malformed, "malformed")
