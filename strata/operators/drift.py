@@ -6,7 +6,7 @@ by construction; lists of variants stay rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,6 +48,11 @@ def observations(tracks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def expected_tracks(days: DataFrame, tracks: Sequence[str] = CHECKED_TRACKS) -> DataFrame:
+    """Every (track, day) that is to be judged, whether or not it has rows."""
+    return days.select("dt", F.explode(F.array(*map(F.lit, tracks))).alias("track"))
+
+
 def parse_health(observed: DataFrame) -> DataFrame:
     """Rows, parse failures, misfitting payloads and failure rate per track and day."""
     health = observed.groupBy(TRACK_DAY).agg(

@@ -127,9 +127,7 @@ def run_drift(
     registry, version = metadata.read_registry(spark, root)
     new = drift.new_variants(variants, registry, scope)
     known = drift.known_variants(variants, registry, scope)
-    expected = day_rows(spark, day, day).crossJoin(
-        spark.createDataFrame([(n,) for n in names], "track string")
-    )
+    expected = drift.expected_tracks(day_rows(spark, day, day), names)
     verdicts = materialize(
         drift.track_verdicts(expected, health, new, known, failure_threshold, new_threshold),
         "drift-verdicts",

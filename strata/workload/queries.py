@@ -395,12 +395,6 @@ def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return before, variants.where(F.col("dt") >= DRIFT_DAY)
 
 
-def _expected(spark: SparkSession, observed: DataFrame) -> DataFrame:
-    """Every checked track on every day that has any rows: a handful of rows per day."""
-    names = F.array(*(F.lit(name) for name in drift.CHECKED_TRACKS))
-    return observed.select("dt").distinct().select("dt", F.explode(names).alias("track"))
-
-
 @query
 def drift_parse_rate(spark, sf_dir):
     return rounded(drift.parse_health(_observed(spark, sf_dir)))
@@ -437,7 +431,8 @@ def registry_merge(spark, sf_dir):
 
 def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     observed = _observed(spark, sf_dir)
-    return drift.backfill_verdicts(observed, _expected(spark, observed))
+    expected = drift.expected_tracks(observed.select("dt").distinct())
+    return drift.backfill_verdicts(observed, expected)
 
 
 @query
