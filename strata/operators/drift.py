@@ -53,23 +53,33 @@ def expected_tracks(days: DataFrame, tracks: Sequence[str] = CHECKED_TRACKS) ->
     return days.select("dt", F.explode(F.array(*map(F.lit, tracks))).alias("track"))
 
 
-def parse_health(observed: DataFrame) -> DataFrame:
+def shape_profile(observed: DataFrame) -> DataFrame:
+    """Rows, parse failures and misfitting payloads per track, day and variant.
+
+    The only pass over the tracks' rows; everything else here derives from this table.
+    """
+    return observed.groupBy(*TRACK_DAY, "payload_variant").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("payload_parse_ok")).alias("failures"),
+        F.count_if("payload_corrupt").alias("corrupt"),
+    )
+
+
+def parse_health(profile: DataFrame) -> DataFrame:
     """Rows, parse failures, misfitting payloads and failure rate per track and day."""
-    health = observed.groupBy(TRACK_DAY).agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(~F.col("payload_parse_ok")).alias("parse_failure_count"),
-        F.count_if("payload_corrupt").alias("corrupt_count"),
+    health = profile.groupBy(TRACK_DAY).agg(
+        F.sum("rows").alias("total_records"),
+        F.sum("failures").alias("parse_failure_count"),
+        F.sum("corrupt").alias("corrupt_count"),
     )
     rate = F.col("parse_failure_count") / F.col("total_records")
     return health.withColumn("parse_failure_rate", rate)
 
 
-def variant_counts(observed: DataFrame) -> DataFrame:
+def variant_counts(profile: DataFrame) -> DataFrame:
     """Rows per track, day and payload variant; failures have no variant."""
-    seen = observed.where(F.col("payload_variant") != PARSE_FAIL)
-    return seen.groupBy(*TRACK_DAY, "payload_variant").agg(
-        F.count(F.lit(1)).alias("variant_rows")
-    )
+    seen = profile.where(F.col("payload_variant") != PARSE_FAIL)
+    return seen.select(*TRACK_DAY, "payload_variant", F.col("rows").alias("variant_rows"))
 
 
 def _registry_key(scope: str) -> list[str]:
@@ -100,14 +110,40 @@ def merge_registry(registry: DataFrame, new: DataFrame, scope: str = "track") ->
     )
 
 
-def _variant_summary(variants: DataFrame, name: str) -> DataFrame:
-    return variants.groupBy(TRACK_DAY).agg(F.count(F.lit(1)).alias(f"{name}_variant_count"))
+def label_variants(variants: DataFrame, registry: DataFrame, scope: str = "track") -> DataFrame:
+    """All variants of the day, told apart by ``is_new``."""
+    key = _registry_key(scope)
+    listed = registry.select(*key, F.lit(False).alias("unlisted")).dropDuplicates(key)
+    labelled = variants.join(listed, key, "left")
+    is_new = F.coalesce("unlisted", F.lit(True))
+    return labelled.select(*variants.columns, is_new.alias("is_new"))
 
 
-def _variant_sample(new: DataFrame) -> DataFrame:
+def label_first_seen(variants: DataFrame) -> DataFrame:
+    """The variants of many days, new on the day of their first row and known later.
+
+    That is what day-by-day runs from an empty registry find, since each registers what
+    it has seen. A window holds one row per day of one variant.
+    """
+    first = F.min("dt").over(Window.partitionBy("track", "payload_variant"))
+    return variants.withColumn("is_new", F.col("dt") == first)
+
+
+def _variant_summary(labelled: DataFrame) -> DataFrame:
+    return labelled.groupBy(TRACK_DAY).agg(
+        F.count_if("is_new").alias("new_variant_count"),
+        F.count_if(~F.col("is_new")).alias("known_variant_count"),
+    )
+
+
+def _variant_sample(labelled: DataFrame) -> DataFrame:
     """The first few new variants per track and day; ranked first, so the list is short."""
     by_name = Window.partitionBy(TRACK_DAY).orderBy("payload_variant")
-    few = new.withColumn("n", F.row_number().over(by_name)).where(F.col("n") <= SAMPLE_VARIANTS)
+    few = (
+        labelled.where("is_new")
+        .withColumn("n", F.row_number().over(by_name))
+        .where(F.col("n") <= SAMPLE_VARIANTS)
+    )
     return few.groupBy(TRACK_DAY).agg(
         F.array_sort(F.collect_list("payload_variant")).alias("sample_variants")
     )
@@ -121,8 +157,7 @@ def _percent(rate: Column | float) -> Column:
 def track_verdicts(
     expected: DataFrame,
     health: DataFrame,
-    new: DataFrame,
-    known: DataFrame,
+    labelled: DataFrame,
     failure_threshold: float = FAILURE_RATE_THRESHOLD,
     new_threshold: int = NEW_VARIANT_THRESHOLD,
 ) -> DataFrame:
@@ -135,9 +170,8 @@ def track_verdicts(
     counts += ["new_variant_count", "known_variant_count"]
     rows = (
         expected.join(health, TRACK_DAY, "left")
-        .join(_variant_summary(new, "new"), TRACK_DAY, "left")
-        .join(_variant_summary(known, "known"), TRACK_DAY, "left")
-        .join(_variant_sample(new), TRACK_DAY, "left")
+        .join(_variant_summary(labelled), TRACK_DAY, "left")
+        .join(_variant_sample(labelled), TRACK_DAY, "left")
         .fillna(0, counts)
     )
     empty = F.col("total_records") == 0
@@ -189,26 +223,3 @@ def daily_verdicts(verdicts: DataFrame) -> DataFrame:
 def drift_history(events: DataFrame, rows: int = HISTORY_ROWS) -> DataFrame:
     """The most recent drift events, newest first."""
     return events.orderBy(F.desc("recorded_at"), F.desc("dt")).limit(rows)
-
-
-def backfill_verdicts(
-    observed: DataFrame,
-    expected: DataFrame,
-    failure_threshold: float = FAILURE_RATE_THRESHOLD,
-    new_threshold: int = NEW_VARIANT_THRESHOLD,
-) -> DataFrame:
-    """Verdicts of many days at once, as day-by-day runs from an empty registry give them.
-
-    Each run registers what it finds, so a variant is new on the day of its first row and
-    known on every later one: one aggregate instead of a loop over days.
-    """
-    variants = variant_counts(observed)
-    dated = variants.join(first_seen(variants), ["track", "payload_variant"])
-    return track_verdicts(
-        expected,
-        parse_health(observed),
-        dated.where("dt = first_seen_dt"),
-        dated.where("dt > first_seen_dt"),
-        failure_threshold,
-        new_threshold,
-    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from strata.operators.manifest import days as day_rows
 from strata.operators.tracks import TRACKS, track
 from strata.plans import marts
 from strata.plans.marts import Days
-from strata.session import materialize
+from strata.session import materialize, run_together
 from strata.sources import bronze, gold, metadata, silver
 
 
@@ -39,8 +40,8 @@ def load_silver(
     """Raw lines to the base table and the seventeen tracks of the days.
 
     The text is parsed once. Base rows are sorted by event type within each file, so a
-    track, read back from the base table, skips the row groups of other types. Returns the
-    line counts of the run, gathered while writing: lines, faulty ones, events that
+    track, read back from the base table, skips the row groups of other types; only its
+    typed columns are shuffled, into files of a sensible size. Returns the line counts of the run, gathered while writing: lines, faulty ones, events that
     normalisation dropped, events of another day, events kept.
     """
     seen, readable, valid, kept = (Observation(n) for n in ("seen", "readable", "valid", "kept"))
@@ -59,8 +60,12 @@ def load_silver(
     silver.write_days(base.sortWithinPartitions("dt", "event_type"), root, silver.BASE)
 
     written = silver.read_days(spark, root, silver.BASE, days.start, days.end)
-    for name in TRACKS:
-        silver.write_days(track(written, name), root, name, repartition, coalesce)
+
+    def write_track(name: str) -> None:
+        table = track(written, name)
+        silver.write_days(table, root, name, repartition, coalesce, rebalance=True)
+
+    run_together(partial(write_track, name) for name in TRACKS)
 
     total, read, dated, final = (o.get["n"] for o in (seen, readable, valid, kept))
     return {
@@ -121,24 +126,23 @@ def run_drift(
     observed = drift.observations(
         {n: silver.read_day_or_empty(spark, source, n, day) for n in names}
     )
-    # Small from here on: one row per track, and one per (track, variant) of the day.
-    health = materialize(drift.parse_health(observed), "drift-health")
-    variants = materialize(drift.variant_counts(observed), "drift-variants")
+    # Small from here on: one row per track and variant of the day.
+    profile = materialize(drift.shape_profile(observed), "drift-profile")
+    variants = drift.variant_counts(profile)
     registry, version = metadata.read_registry(spark, root)
-    new = drift.new_variants(variants, registry, scope)
-    known = drift.known_variants(variants, registry, scope)
+    labelled = drift.label_variants(variants, registry, scope)
     expected = drift.expected_tracks(day_rows(spark, day, day), names)
     verdicts = materialize(
-        drift.track_verdicts(expected, health, new, known, failure_threshold, new_threshold),
+        drift.track_verdicts(
+            expected, drift.parse_health(profile), labelled, failure_threshold, new_threshold
+        ),
         "drift-verdicts",
     )
     daily = drift.daily_verdicts(verdicts)
-    labelled = new.withColumn("status", F.lit("new")).unionByName(
-        known.withColumn("status", F.lit("known"))
-    )
     metadata.write_results(daily, verdicts, labelled, root)
     metadata.append_history(daily, root)
     if daily.first().total_new_variants > 0:
+        new = drift.new_variants(variants, registry, scope)
         merged = drift.merge_registry(registry, new, scope)
         metadata.write_registry(merged, root, version + 1)
     return verdicts
@@ -202,9 +206,15 @@ def run_gold(
         ),
     }
     target = gold_root(lake)
-    for name, mart in whole.items():
-        gold.write_mart(mart, f"{target}/{name}", fmt, max(1, files))
-    for name, mart in by_day.items():
-        if mart is not None:
-            gold.write_mart(mart, f"{target}/{name}", fmt, files, partition_by="dt")
-    return [*whole, *(name for name, mart in by_day.items() if mart is not None)]
+    by_day = {name: mart for name, mart in by_day.items() if mart is not None}
+    run_together(
+        [
+            partial(gold.write_mart, mart, f"{target}/{name}", fmt, max(1, files))
+            for name, mart in whole.items()
+        ]
+        + [
+            partial(gold.write_mart, mart, f"{target}/{name}", fmt, files, "dt")
+            for name, mart in by_day.items()
+        ]
+    )
+    return [*whole, *by_day]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(writes: Iterable[Callable[[], None]], at_once: int = 4) -> None:
+    """Run independent writes side by side, so that the tail of one does not idle the cluster.
+
+    Waits for all of them; the first failure is raised.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(write) for write in writes]:
+            done.result()

@@ -55,13 +55,16 @@ def table_path(root: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{dataset}"
 
 
+_schemas: dict[str, T.StructType] = {BASE: EVENTS_BASE}
+
+
 def table_schema(spark: SparkSession, dataset: str) -> T.StructType:
     """The declared schema: a table that holds no file yet still reads, as zero rows."""
-    if dataset == BASE:
-        return EVENTS_BASE
-    if dataset not in TRACKS:
-        raise KeyError(f"no such silver dataset: {dataset}")
-    return track(spark.createDataFrame([], EVENTS_BASE), dataset).schema
+    if dataset not in _schemas:
+        if dataset not in TRACKS:
+            raise KeyError(f"no such silver dataset: {dataset}")
+        _schemas[dataset] = track(spark.createDataFrame([], EVENTS_BASE), dataset).schema
+    return _schemas[dataset]
 
 
 def read_table(spark: SparkSession, root: str, dataset: str) -> DataFrame:
@@ -93,10 +96,18 @@ def read_day_or_empty(spark: SparkSession, root: str, dataset: str, day: dt.date
 
 
 def write_days(
-    df: DataFrame, root: str, dataset: str, repartition: int = 0, coalesce: int = 0
+    df: DataFrame,
+    root: str,
+    dataset: str,
+    repartition: int = 0,
+    coalesce: int = 0,
+    rebalance: bool = False,
 ) -> None:
     """Replace the days that ``df`` holds; other days of the dataset stay.
 
+    The number of files can be set by ``repartition`` or ``coalesce``. ``rebalance`` leaves
+    it to the size of the data: small days become one file each, large ones are split.
+
     A frame without rows replaces nothing, so a rerun that finds no rows for a day leaves
     the day's old rows in place: compare with ``audit_days``.
     """
@@ -106,6 +117,8 @@ def write_days(
         df = df.repartition(repartition)
     elif coalesce > 0:
         df = df.coalesce(coalesce)
+    elif rebalance:
+        df = df.hint("rebalance", "dt")
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

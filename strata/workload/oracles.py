@@ -802,6 +802,10 @@ def all_oracles() -> dict[str, str]:
         "drift_new_global": _with(
             *observed, select=f"SELECT * FROM current_variants v WHERE NOT {_is_known('global')}"
         ),
+        "drift_labels": _with(
+            *observed,
+            select=f"SELECT *, NOT {_is_known('track')} AS is_new FROM current_variants v",
+        ),
         "drift_known": _with(
             *observed, select=f"SELECT * FROM current_variants v WHERE {_is_known('track')}"
         ),
@@ -823,7 +827,8 @@ def all_oracles() -> dict[str, str]:
             _RAW,
             _MANIFEST,
             select="SELECT * FROM manifest m WHERE NOT EXISTS "
-            "(FROM landed l WHERE l.source_name = m.source_name)",
+            "(FROM landed l WHERE l.source_name = m.source_name "
+            f"AND l.source_name < '{rules.DRIFT_DAY}')",
         ),
         "ingest_status": _with(
             _FACTS, _RAW, _MANIFEST, _STATUS, select="SELECT * FROM statuses"

@@ -22,7 +22,7 @@ from strata.operators import (
     tracks,
 )
 from strata.plans import jobs, marts
-from strata.session import materialize, scratch_path
+from strata.session import scratch_path
 from strata.sources import bronze, metadata, silver
 from strata.workload import rules, views
 
@@ -256,8 +256,7 @@ for _name in tracks.TRACKS:
 
 
 def _all_tracks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    base = materialize(events.events_base(views.raw_lines(spark, sf_dir)), "events-base")
-    return tracks.all_tracks(base)
+    return tracks.all_tracks(views.base_table(spark, sf_dir))
 
 
 @query
@@ -383,26 +382,27 @@ def pr_review_latency_split(spark, sf_dir):
 # --- drift -------------------------------------------------------------------------------
 
 
-def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _all_tracks(spark, sf_dir)
-    return drift.observations({name: found[name] for name in drift.CHECKED_TRACKS})
+    observed = drift.observations({name: found[name] for name in drift.CHECKED_TRACKS})
+    return drift.shape_profile(observed)
 
 
 def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The registry that the days before the drift day leave, and the variants from it on."""
-    variants = drift.variant_counts(_observed(spark, sf_dir))
+    variants = drift.variant_counts(_profile(spark, sf_dir))
     before = drift.first_seen(variants.where(F.col("dt") < DRIFT_DAY))
     return before, variants.where(F.col("dt") >= DRIFT_DAY)
 
 
 @query
 def drift_parse_rate(spark, sf_dir):
-    return rounded(drift.parse_health(_observed(spark, sf_dir)))
+    return rounded(drift.parse_health(_profile(spark, sf_dir)))
 
 
 @query
 def drift_variants(spark, sf_dir):
-    return drift.variant_counts(_observed(spark, sf_dir))
+    return drift.variant_counts(_profile(spark, sf_dir))
 
 
 @query
@@ -417,6 +417,12 @@ def drift_new_global(spark, sf_dir):
     return drift.new_variants(current, registry, "global")
 
 
+@query
+def drift_labels(spark, sf_dir):
+    registry, current = _before_and_after(spark, sf_dir)
+    return drift.label_variants(current, registry)
+
+
 @query
 def drift_known(spark, sf_dir):
     registry, current = _before_and_after(spark, sf_dir)
@@ -430,9 +436,13 @@ def registry_merge(spark, sf_dir):
 
 
 def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    observed = _observed(spark, sf_dir)
-    expected = drift.expected_tracks(observed.select("dt").distinct())
-    return drift.backfill_verdicts(observed, expected)
+    """All days at once, each judged against the days before it."""
+    profile = _profile(spark, sf_dir)
+    return drift.track_verdicts(
+        drift.expected_tracks(profile.select("dt").distinct()),
+        drift.parse_health(profile),
+        drift.label_first_seen(drift.variant_counts(profile)),
+    )
 
 
 @query
@@ -474,6 +484,10 @@ def _landed(lines: DataFrame) -> DataFrame:
     )
 
 
+def _landed_before_drift(landed: DataFrame) -> DataFrame:
+    return landed.where(F.col("source_name") < rules.DRIFT_DAY)
+
+
 @query
 def hour_manifest(spark, sf_dir):
     return manifest.hour_manifest(_days(spark, sf_dir))
@@ -481,16 +495,15 @@ def hour_manifest(spark, sf_dir):
 
 @query
 def missing_hours(spark, sf_dir):
-    landed = _landed(views.raw_lines(spark, sf_dir))
+    """What is left to fetch once the files up to the drift day have landed."""
+    landed = _landed_before_drift(_landed(views.raw_lines(spark, sf_dir)))
     return manifest.missing_hours(manifest.hour_manifest(_days(spark, sf_dir)), landed)
 
 
 def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     after = _landed(views.raw_lines(spark, sf_dir))
-    before = after.where(F.col("source_name") < rules.DRIFT_DAY)
-    return manifest.ingest_status(
-        manifest.hour_manifest(_days(spark, sf_dir)), before, after
-    )
+    due = manifest.hour_manifest(_days(spark, sf_dir))
+    return manifest.ingest_status(due, _landed_before_drift(after), after)
 
 
 @query

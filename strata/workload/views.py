@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.operators.events import events_base
 from strata.session import materialize
 from strata.workload import rules
 
@@ -31,24 +34,41 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_written: dict[tuple[str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw_json, source_file``: what a scan of the landed files gives.
+def _at_rest(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A derived table, written once per session and table folder.
 
-    Written once per session and table folder, so that queries start from text at rest as
-    they do on landed files.
+    Queries start from tables at rest, as they do on landed files and silver tables.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        lines = facts(spark, sf_dir).selectExpr("*", f"{rules.PAYLOAD_TEXT} AS payload_text")
-        lines = lines.selectExpr("*", f"{rules.LINE} AS line")
-        lines = lines.selectExpr(f"{rules.RAW_JSON} AS raw_json", "source_file")
-        _written[key] = materialize(lines.repartition("source_file"), "raw-lines")
+        _written[key] = materialize(build(), name)
     return _written[key]
 
 
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_json, source_file``: what a scan of the landed files gives."""
+
+    def build() -> DataFrame:
+        by_file = facts(spark, sf_dir).repartitionByRange("source_file")
+        lines = by_file.selectExpr("*", f"{rules.PAYLOAD_TEXT} AS payload_text")
+        lines = lines.selectExpr("*", f"{rules.LINE} AS line")
+        return lines.selectExpr(f"{rules.RAW_JSON} AS raw_json", "source_file")
+
+    return _at_rest(spark, sf_dir, "raw-lines", build)
+
+
+def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base events of the archive's lines."""
+    return _at_rest(
+        spark, sf_dir, "events-base", lambda: events_base(raw_lines(spark, sf_dir))
+    )
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base event table as the marts read it, with the table's own event types."""
     return facts(spark, sf_dir).selectExpr(
@@ -67,7 +87,7 @@ def pushes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks.selectExpr("dt", f"{rules.REPO_NAME} AS repo_name", f"{rules.PUSH_REF} AS ref")
 
 
-def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An opening event per order (status P: another action), and a closing one if merged."""
     orders = table(spark, sf_dir, "orders")
     shared = _columns(repo_name=rules.PR_REPO, pull_request_id="o_orderkey")
@@ -123,7 +143,7 @@ def _reviewed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _AT_TEXT = "date_format(at, 'yyyy-MM-dd\\'T\\'HH:mm:ss\\'Z\\'')"
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reviewed_lines(spark, sf_dir).selectExpr(
         "CAST(at AS DATE) AS dt",
         "repo_name",
@@ -137,7 +157,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def review_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _review_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _reviewed_lines(spark, sf_dir)
         .where("l_linestatus = 'O'")
@@ -149,3 +169,15 @@ def review_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{_AT_TEXT} AS comment_created_at",
         )
     )
+
+
+def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _at_rest(spark, sf_dir, "pull-requests", lambda: _pull_requests(spark, sf_dir))
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _at_rest(spark, sf_dir, "reviews", lambda: _reviews(spark, sf_dir))
+
+
+def review_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _at_rest(spark, sf_dir, "review-comments", lambda: _review_comments(spark, sf_dir))
