@@ -46,35 +46,38 @@ def windowed_pull_requests(
     plain = pr_windows.speed_windows(pr_windows.opening_windows(ordinary))
     huge = materialize(enriched_pull_requests(*(t.where(is_large) for t in tables)), "large-repos")
     slices = max(2, -(-2 * sum(large.values()) // split_rows))
-    return plain.unionByName(pr_windows.split_windows(huge, len(large), slices, split_rows))
+    return plain.unionByName(pr_windows.split_windows(huge, slices, split_rows))
 
 
 def review_latency(windowed: DataFrame) -> DataFrame:
     """The 18 measures per (opening day, repository), most pull requests first.
 
-    A pull request is one row here, so the distinct count of ids is the row count.
-    Percentiles are Spark's approximate ones: mergeable sketches of bounded size.
+    A pull request is one row here, so the distinct count of ids is the row count. The
+    percentile of a group of n is its value of rank ceil(p * n), what ``percentile_approx``
+    gives while its sketch is exact. The rows carry that rank and n already, so this stays
+    exact for any n, and no group needs a sketch.
     """
 
     def mean(column: str, name: str | None = None):
         return F.avg(column).alias(name or f"avg_{column}")
 
-    def percentile(column: str, at: float):
-        return F.percentile_approx(column, at).alias(f"p{at * 100:.0f}_{column}")
+    def percentile(column: str, at: float, of: str):
+        is_it = F.col("daily_review_speed_rank") == F.ceil(F.lit(at) * F.col(of))
+        return F.max(F.when(is_it, F.col(column))).alias(f"p{at * 100:.0f}_{column}")
 
     measures = windowed.groupBy("dt", "repo_name").agg(
         F.count("pull_request_id").alias("pr_count"),
         F.sum("reviewed_pr").alias("reviewed_pr_count"),
         mean("first_review_hours"),
-        percentile("first_review_hours", 0.9),
-        percentile("first_review_hours", 0.95),
+        percentile("first_review_hours", 0.9, of="day_reviewed_pr_count"),
+        percentile("first_review_hours", 0.95, of="day_reviewed_pr_count"),
         mean("first_review_comment_hours"),
         mean("review_count"),
         mean("review_comment_count"),
         F.sum("review_comment_count").alias("total_review_comment_count"),
         F.sum("approval_count").alias("total_approval_count"),
         mean("repo_review_speed_rank"),
-        percentile("repo_review_speed_rank", 0.9),
+        percentile("repo_review_speed_rank", 0.9, of="day_pr_count"),
         mean("repo_review_speed_percent_rank"),
         mean("daily_review_speed_rank"),
         mean("pr_gap_hours"),

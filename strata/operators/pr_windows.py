@@ -16,6 +16,8 @@ into a task and gives the same rows:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +35,14 @@ SPLIT_ROWS = 2_000_000
 _SPEED = "speed"
 
 
+def _day_sizes() -> dict[str, Column]:
+    """Sizes of a (repository, day): all pull requests, and those with a review."""
+    return {
+        "day_pr_count": F.count(F.lit(1)),
+        "day_reviewed_pr_count": F.count("first_review_hours"),
+    }
+
+
 def _speed() -> Column:
     """Sort key of the review speed: reviewed first, then hours ascending."""
     hours = F.col("first_review_hours")
@@ -64,7 +74,7 @@ def speed_windows(prs: DataFrame) -> DataFrame:
     """Rank and percent rank by hours to the first review, unreviewed last.
 
     Row numbers break ties by id. The percent rank has none to break: equal hours are
-    peers and share it.
+    peers and share it. The day's sizes place a rank within its (repository, day).
     """
     hours, pr = F.asc_nulls_last("first_review_hours"), F.asc("pull_request_id")
     repo = Window.partitionBy("repo_name")
@@ -74,6 +84,7 @@ def speed_windows(prs: DataFrame) -> DataFrame:
             "repo_review_speed_rank": F.row_number().over(repo.orderBy(hours, pr)).cast("long"),
             "repo_review_speed_percent_rank": F.percent_rank().over(repo.orderBy(hours)),
             "daily_review_speed_rank": F.row_number().over(day.orderBy(hours, pr)).cast("long"),
+            **{name: size.over(day) for name, size in _day_sizes().items()},
         }
     )
 
@@ -177,8 +188,21 @@ def blocked_opening_windows(prs: DataFrame, position: str, block_rows: int) -> D
     )
 
 
-def split_windows(prs: DataFrame, repos: int, slices: int, block_rows: int) -> DataFrame:
-    """Every column of ``opening_windows`` and ``speed_windows`` for ``repos`` repositories of any size."""
+def join_sizes(rows: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the sizes of each row's group; a NULL key is a group too.
+
+    The sizes are written first and counted: a short table is broadcast, a longer one is
+    joined by sort-merge, where Spark splits the partitions that a large group skews.
+    """
+    sizes = materialize(sizes.withColumnsRenamed({k: f"sized_{k}" for k in keys}), "sizes")
+    small = sizes.count() <= BROADCAST_ROWS
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"sized_{k}")) for k in keys))
+    joined = rows.join(F.broadcast(sizes) if small else sizes, same)
+    return joined.drop(*(f"sized_{k}" for k in keys))
+
+
+def split_windows(prs: DataFrame, slices: int, block_rows: int) -> DataFrame:
+    """``opening_windows`` and ``speed_windows`` for repositories of any size."""
     opened = ordered_positions(
         prs, ["repo_name"], "opened_at", "pull_request_id", slices, "opening_position"
     )
@@ -193,17 +217,13 @@ def split_windows(prs: DataFrame, repos: int, slices: int, block_rows: int) -> D
         "repo_review_speed_rank",
         "peer_rank",
     )
-    sizes = prs.groupBy(F.col("repo_name").alias("sized_repo")).agg(
-        F.count(F.lit(1)).alias("repo_prs")
-    )
-    # One row per split repository, and the caller has counted those.
-    sizes = F.broadcast(sizes) if repos <= BROADCAST_ROWS else sizes
-    ranked = ranked.join(sizes, F.col("repo_name").eqNullSafe(F.col("sized_repo")))
+    sizes = prs.groupBy("repo_name").agg(F.count(F.lit(1)).alias("repo_prs"))
+    ranked = join_sizes(ranked, sizes, ["repo_name"])
     percent = F.when(
         F.col("repo_prs") > 1, (F.col("peer_rank") - 1) / (F.col("repo_prs") - 1)
     ).otherwise(0.0)
     ranked = ranked.withColumn("repo_review_speed_percent_rank", percent).drop(
-        "peer_rank", "repo_prs", "sized_repo"
+        "peer_rank", "repo_prs"
     )
     daily = ordered_positions(
         ranked,
@@ -213,7 +233,10 @@ def split_windows(prs: DataFrame, repos: int, slices: int, block_rows: int) -> D
         slices,
         "daily_review_speed_rank",
     )
-    return daily.drop(_SPEED)
+    sizes = [size.alias(name) for name, size in _day_sizes().items()]
+    return join_sizes(
+        daily.drop(_SPEED), prs.groupBy("repo_name", "dt").agg(*sizes), ["repo_name", "dt"]
+    )
 
 
 # --- choice ----------------------------------------------------------------------------

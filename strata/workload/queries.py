@@ -22,7 +22,7 @@ from strata.operators import (
     tracks,
 )
 from strata.plans import jobs, marts
-from strata.session import scratch_path
+from strata.session import materialize, scratch_path
 from strata.sources import bronze, metadata, silver
 from strata.workload import rules, views
 
@@ -437,7 +437,7 @@ def registry_merge(spark, sf_dir):
 
 def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days at once, each judged against the days before it."""
-    profile = _profile(spark, sf_dir)
+    profile = materialize(_profile(spark, sf_dir), "drift-profile")
     return drift.track_verdicts(
         drift.expected_tracks(profile.select("dt").distinct()),
         drift.parse_health(profile),

@@ -38,15 +38,19 @@ _written: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _at_rest(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *order: str
 ) -> DataFrame:
     """A derived table, written once per session and table folder.
 
-    Queries start from tables at rest, as they do on landed files and silver tables.
+    Queries start from tables at rest, in a file per core at least, as they do on landed
+    files and silver tables.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        _written[key] = materialize(build(), name)
+        cores = spark.sparkContext.defaultParallelism
+        rows = build()
+        spread = rows.repartitionByRange(cores, *order) if order else rows.repartition(cores)
+        _written[key] = materialize(spread, name)
     return _written[key]
 
 
@@ -54,12 +58,11 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_json, source_file``: what a scan of the landed files gives."""
 
     def build() -> DataFrame:
-        by_file = facts(spark, sf_dir).repartitionByRange("source_file")
-        lines = by_file.selectExpr("*", f"{rules.PAYLOAD_TEXT} AS payload_text")
+        lines = facts(spark, sf_dir).selectExpr("*", f"{rules.PAYLOAD_TEXT} AS payload_text")
         lines = lines.selectExpr("*", f"{rules.LINE} AS line")
         return lines.selectExpr(f"{rules.RAW_JSON} AS raw_json", "source_file")
 
-    return _at_rest(spark, sf_dir, "raw-lines", build)
+    return _at_rest(spark, sf_dir, "raw-lines", build, "source_file")
 
 
 def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
