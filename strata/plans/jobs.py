@@ -18,6 +18,10 @@ from strata.session import materialize, run_together
 from strata.sources import bronze, gold, metadata, silver
 
 
+# A landed hour is a few hundred megabytes: several row groups per file, sorted by type.
+BASE_ROW_GROUP_BYTES = 16 * 1024 * 1024
+
+
 def silver_root(lake: str) -> str:
     return f"{lake.rstrip('/')}/silver"
 
@@ -42,7 +46,8 @@ def load_silver(
     The text is parsed once. Base rows are sorted by event type within each file, so a
     track, read back from the base table, skips the row groups of other types; only its
     typed columns are shuffled, into files of a sensible size. Returns the line counts of the run, gathered while writing: lines, faulty ones, events that
-    normalisation dropped, events of another day, events kept.
+    normalisation dropped, events of another day, events kept. They inform: a stage that
+    is recomputed after a loss may count its lines again, the tables stay right.
     """
     seen, readable, valid, kept = (Observation(n) for n in ("seen", "readable", "valid", "kept"))
     count = F.count(F.lit(1)).alias("n")
@@ -57,7 +62,8 @@ def load_silver(
     elif coalesce > 0:
         base = base.coalesce(coalesce)
     spark, root = lines.sparkSession, silver_root(lake)
-    silver.write_days(base.sortWithinPartitions("dt", "event_type"), root, silver.BASE)
+    base = base.sortWithinPartitions("dt", "event_type")
+    silver.write_days(base, root, silver.BASE, row_group_bytes=BASE_ROW_GROUP_BYTES)
 
     written = silver.read_days(spark, root, silver.BASE, days.start, days.end)
 

@@ -102,11 +102,13 @@ def write_days(
     repartition: int = 0,
     coalesce: int = 0,
     rebalance: bool = False,
+    row_group_bytes: int | None = None,
 ) -> None:
     """Replace the days that ``df`` holds; other days of the dataset stay.
 
     The number of files can be set by ``repartition`` or ``coalesce``. ``rebalance`` leaves
     it to the size of the data: small days become one file each, large ones are split.
+    Rows sorted by a filter column are skipped the better the smaller the row groups.
 
     A frame without rows replaces nothing, so a rerun that finds no rows for a day leaves
     the day's old rows in place: compare with ``audit_days``.
@@ -119,12 +121,10 @@ def write_days(
         df = df.coalesce(coalesce)
     elif rebalance:
         df = df.hint("rebalance", "dt")
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(table_path(root, dataset))
-    )
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.partitionBy("dt").parquet(table_path(root, dataset))
 
 
 def audit_days(spark: SparkSession, root: str, dataset: str) -> DataFrame:

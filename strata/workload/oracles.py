@@ -7,6 +7,11 @@ from strata.workload import rules
 from strata.workload.rules import IS_LATE, IS_OLD, IS_READABLE, IS_VALID
 
 
+def _half_up(expression: str, digits: int = 6) -> str:
+    """Rounding with halves sent up, in plain arithmetic that every engine does alike."""
+    return f"floor(({expression}) * 1e{digits} + 0.5) / 1e{digits}"
+
+
 def _select(columns: dict[str, str]) -> str:
     return ", ".join(f"{expression} AS {name}" for name, expression in columns.items())
 
@@ -348,7 +353,7 @@ def _branch_ratio(base: str) -> str:
     counts = _BRANCHES.format(base=base)
     return _stamped(
         "SELECT c.*, CAST(t.total_push_count AS BIGINT) AS total_push_count, "
-        "round(c.push_count / t.total_push_count, 6) AS branch_ratio "
+        f"{_half_up('c.push_count / t.total_push_count')} AS branch_ratio "
         f"FROM ({counts}) c JOIN (SELECT dt, sum(push_count) AS total_push_count "
         f"FROM ({counts}) GROUP BY dt) t ON c.dt = t.dt"
     )
@@ -460,7 +465,7 @@ def _seconds(column: str) -> str:
 
 
 def _six(*columns: str) -> str:
-    return ", ".join(f"round({column}, 6) AS {column}" for column in columns)
+    return ", ".join(f"{_half_up(column)} AS {column}" for column in columns)
 
 
 _PR_BASE_COLUMNS = (
@@ -475,7 +480,7 @@ _RANK_COLUMNS = (
 
 def _latency(start: str, end: str) -> str:
     def mean(column: str, name: str | None = None) -> str:
-        return f"round(avg({column}), 6) AS {name or 'avg_' + column}"
+        return f"{_half_up(f'avg({column})')} AS {name or 'avg_' + column}"
 
     def total(column: str, name: str) -> str:
         return f"CAST(sum({column}) AS BIGINT) AS {name}"
@@ -485,8 +490,8 @@ def _latency(start: str, end: str) -> str:
             "count(DISTINCT pull_request_id) AS pr_count",
             total("reviewed_pr", "reviewed_pr_count"),
             mean("first_review_hours"),
-            "round(quantile_disc(first_review_hours, 0.9), 6) AS p90_first_review_hours",
-            "round(quantile_disc(first_review_hours, 0.95), 6) AS p95_first_review_hours",
+            f"{_half_up('quantile_disc(first_review_hours, 0.9)')} AS p90_first_review_hours",
+            f"{_half_up('quantile_disc(first_review_hours, 0.95)')} AS p95_first_review_hours",
             mean("first_review_comment_hours"),
             mean("review_count"),
             mean("review_comment_count"),
@@ -568,12 +573,12 @@ def _verdicts(days: str, firsts: str) -> str:
   FROM expected LEFT JOIN health USING (track, dt) LEFT JOIN shown USING (track, dt)
 ), verdicts AS (
   SELECT track, dt, total_records, parse_failure_count, corrupt_count,
-    round(rate, 4) AS parse_failure_rate, new_variant_count, known_variant_count,
+    {_half_up('rate', 4)} AS parse_failure_rate, new_variant_count, known_variant_count,
     total_records > 0 AND (rate >= 0.05 OR new_variant_count >= 1) AS drift_detected,
     concat_ws('; ',
       CASE WHEN total_records = 0 THEN 'no data' END,
       CASE WHEN total_records > 0 AND rate >= 0.05 THEN 'parse failure rate '
-        || printf('%.2f%%', round(rate * 100, 2)) || ' >= threshold 5.00%' END,
+        || printf('%.2f%%', {_half_up('rate * 100', 2)}) || ' >= threshold 5.00%' END,
       CASE WHEN total_records > 0 AND new_variant_count >= 1
         THEN new_variant_count || ' new variants: ' || sample END) AS drift_reasons
   FROM judged
@@ -793,7 +798,7 @@ def all_oracles() -> dict[str, str]:
         "drift_parse_rate": _with(
             *observed,
             select="SELECT track, dt, total_records, parse_failure_count, corrupt_count, "
-            f"round(parse_failure_rate, 6) AS parse_failure_rate FROM ({_HEALTH})",
+            f"{_six('parse_failure_rate')} FROM ({_HEALTH})",
         ),
         "drift_variants": _with(*observed, select="SELECT * FROM variants"),
         "drift_new": _with(
