@@ -45,9 +45,11 @@ def load_silver(
 
     The text is parsed once. Base rows are sorted by event type within each file, so a
     track, read back from the base table, skips the row groups of other types; only its
-    typed columns are shuffled, into files of a sensible size. Returns the line counts of the run, gathered while writing: lines, faulty ones, events that
-    normalisation dropped, events of another day, events kept. They inform: a stage that
-    is recomputed after a loss may count its lines again, the tables stay right.
+    typed columns are shuffled, into files of a sensible size.
+
+    Returns the line counts of the run, gathered while writing: lines, faulty ones, events
+    that normalisation dropped, events of another day, events kept. They inform: a stage
+    that is recomputed after a loss may count its lines again, the tables stay right.
     """
     seen, readable, valid, kept = (Observation(n) for n in ("seen", "readable", "valid", "kept"))
     count = F.count(F.lit(1)).alias("n")

@@ -393,7 +393,7 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The registry that the days before the drift day leave, and the variants from it on."""
-    variants = drift.variant_counts(_profile(spark, sf_dir))
+    variants = drift.variant_counts(materialize(_profile(spark, sf_dir), "drift-profile"))
     before = drift.first_seen(variants.where(F.col("dt") < DRIFT_DAY))
     return before, variants.where(F.col("dt") >= DRIFT_DAY)
 

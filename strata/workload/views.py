@@ -38,38 +38,43 @@ _written: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _at_rest(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *order: str
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
     """A derived table, written once per session and table folder.
 
-    Queries start from tables at rest, in a file per core at least, as they do on landed
-    files and silver tables.
+    Queries start from tables at rest, as they do on landed files and silver tables.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        cores = spark.sparkContext.defaultParallelism
-        rows = build()
-        spread = rows.repartitionByRange(cores, *order) if order else rows.repartition(cores)
-        _written[key] = materialize(spread, name)
+        _written[key] = materialize(build(), name)
     return _written[key]
 
 
+def _spread(df: DataFrame, *order: str) -> DataFrame:
+    """At least a file per core, as a real table would have."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartitionByRange(cores, *order) if order else df.repartition(cores)
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_json, source_file``: what a scan of the landed files gives."""
 
     def build() -> DataFrame:
-        lines = facts(spark, sf_dir).selectExpr("*", f"{rules.PAYLOAD_TEXT} AS payload_text")
+        by_file = _spread(facts(spark, sf_dir), "source_file")
+        lines = by_file.selectExpr("*", f"{rules.PAYLOAD_TEXT} AS payload_text")
         lines = lines.selectExpr("*", f"{rules.LINE} AS line")
         return lines.selectExpr(f"{rules.RAW_JSON} AS raw_json", "source_file")
 
-    return _at_rest(spark, sf_dir, "raw-lines", build, "source_file")
+    return _at_rest(spark, sf_dir, "raw-lines", build)
 
 
 def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base events of the archive's lines."""
-    return _at_rest(
-        spark, sf_dir, "events-base", lambda: events_base(raw_lines(spark, sf_dir))
-    )
+    """The base events of the archive's lines, each file sorted as the silver job sorts it."""
+
+    def build() -> DataFrame:
+        return events_base(raw_lines(spark, sf_dir)).sortWithinPartitions("dt", "event_type")
+
+    return _at_rest(spark, sf_dir, "events-base", build)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,12 +180,16 @@ def _review_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at_rest(spark, sf_dir, "pull-requests", lambda: _pull_requests(spark, sf_dir))
+    return _at_rest(
+        spark, sf_dir, "pull-requests", lambda: _spread(_pull_requests(spark, sf_dir))
+    )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at_rest(spark, sf_dir, "reviews", lambda: _reviews(spark, sf_dir))
+    return _at_rest(spark, sf_dir, "reviews", lambda: _spread(_reviews(spark, sf_dir)))
 
 
 def review_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at_rest(spark, sf_dir, "review-comments", lambda: _review_comments(spark, sf_dir))
+    return _at_rest(
+        spark, sf_dir, "review-comments", lambda: _spread(_review_comments(spark, sf_dir))
+    )
