@@ -335,7 +335,8 @@ def _breakdown(base: str, top: str, key: str, metric: str) -> str:
 
 def _daily_top(base: str) -> str:
     return _stamped(
-        "SELECT dt, repo_name, event_count, daily_rank FROM (SELECT *, row_number() OVER ("
+        "SELECT dt, repo_name, event_count, CAST(daily_rank AS INTEGER) AS daily_rank "
+        "FROM (SELECT *, row_number() OVER ("
         "PARTITION BY dt ORDER BY event_count DESC, repo_name ASC NULLS FIRST) AS daily_rank "
         f"FROM (SELECT dt, repo_name, count(*) AS event_count FROM {base} GROUP BY 1, 2)) "
         "WHERE daily_rank <= 10"
