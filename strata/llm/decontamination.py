@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -205,7 +206,25 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _found(key, counts.to_pylist(), pairs, items.to_pylist(), "_key")
 
 
-def drop_contaminated(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a hit, by id; all columns as they are."""
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, size: int = WORDS, at_once: int = WINDOWS_AT_ONCE
+) -> DataFrame:
+    """The rows of ``docs`` whose text has no window of the benchmark; all columns as they are.
+
+    Where the windows fit one broadcast, texts are judged where they are read and none moves;
+    with more, findings are joined by id (rows that share an id go together).
+    """
+    shared = _window_parts(benchmark, size, at_once)
+    ship_package(docs.sparkSession)
+    if len(shared) == 1:
+
+        @F.pandas_udf("boolean")
+        def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            windows = shared[0].windows()
+            for texts in batches:
+                yield pd.Series([len(windows.hits(words_of(text))[0]) > 0 for text in texts], dtype=bool)
+
+        return docs.where(~hit(docs["text"]))
+    found = find_contamination(docs, benchmark, size, at_once)
     hit = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_hit"))
     return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit"]), "left_anti")

@@ -56,6 +56,8 @@ def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
         .where(F.col("docs") >= min_docs)
         .select("h", "last")
     )
+    # Written, so that the join below reads both sides from plain shuffles, which can be split.
+    spread = materialize(spread, "spread-lines")
     dropped = hashed.join(spread, "h").where(F.col("_key") != F.col("last"))
     return dropped.groupBy("_key").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
 

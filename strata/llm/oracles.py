@@ -56,5 +56,39 @@ FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 
+def _mixing(rounds: int = 8) -> str:
+    words = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+    lines = "length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), ''))"
+    steps, last = [], "rake0"
+    for step, dimension in enumerate(["source", "lang", "topic"] * rounds, start=1):
+        steps.append(
+            f"rake{step} AS (SELECT * REPLACE (w * to_{dimension} / sum(w) OVER (PARTITION BY {dimension}) AS w) FROM {last})"
+        )
+        last = f"rake{step}"
+    return f"""
+WITH facts AS (
+    SELECT doc_id, source, lang,
+        CASE WHEN n = 0 THEN 'empty' WHEN n_lines >= 20 THEN 'listed'
+            WHEN n < 100 THEN 'short' ELSE 'prose' END AS topic,
+        CAST(n + 1 AS BIGINT) AS tokens
+    FROM (SELECT *, {words} AS n, {lines} AS n_lines FROM documents)
+), cells AS (
+    SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM facts GROUP BY ALL
+), rake0 AS (
+    SELECT *, tokens AS w, pow(sum(tokens) OVER (PARTITION BY source), 0.85) AS to_source,
+        pow(sum(tokens) OVER (PARTITION BY lang), 0.9) AS to_lang,
+        pow(sum(tokens) OVER (PARTITION BY topic), 1.0) AS to_topic
+    FROM cells
+), {", ".join(steps)}, shares AS (
+    SELECT source, lang, topic, (w / tokens) / max(w / tokens) OVER () AS probability FROM {last}
+)
+SELECT f.doc_id, f.source, f.lang, f.topic, f.tokens, round(probability, 9) AS probability,
+    CAST('0x' || substr(md5(concat_ws('-', 'mix', CAST(doc_id AS VARCHAR))), 1, 13) AS BIGINT)
+        / 4503599627370496.0 < probability AS kept
+FROM facts f JOIN shares s ON f.source IS NOT DISTINCT FROM s.source
+    AND f.lang IS NOT DISTINCT FROM s.lang AND f.topic = s.topic
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op7_decontamination": DECONTAMINATION}
+    return {"op1_line_dedup": LINE_DEDUP, "op4_mixing": _mixing(), "op7_decontamination": DECONTAMINATION}

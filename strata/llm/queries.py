@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, line_dedup, records, sharding, token_counts
+from strata.llm import (
+    decontamination,
+    embedding_dedup,
+    line_dedup,
+    mixing,
+    quality,
+    records,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
 from strata.llm.common import table
 
 SHARDS = 24
@@ -18,6 +29,12 @@ PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def held_out() -> Column:
+    """The fold that no score is learned from: a quarter of the ids, by CRC-32 of their text."""
+    text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % 4 == 2
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
@@ -41,6 +58,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumn(
+        "probability", F.round("probability", 9)
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = records.new_folder(spark)
     index = records.write_records(
@@ -64,6 +91,40 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(~held_out()))
+    return docs.select(
+        "doc_id", held_out().alias("held_out"), quality.scored(model, docs["text"]).alias("score")
+    ).withColumn("predicted", (F.col("score") >= quality.ACCEPTED).cast("int"))
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_line_dedup, op2_sharding, op3_token_counts, op6_token_records, op7_decontamination]
+    own = [
+        op1_line_dedup,
+        op2_sharding,
+        op3_token_counts,
+        op4_mixing,
+        op5_simhash,
+        op6_token_records,
+        op7_decontamination,
+        op8_quality,
+        op9_embedding_dedup,
+        op10_suffix_dedup,
+    ]
     return {query.__name__: query for query in own}
