@@ -156,13 +156,17 @@ class WordEncoder:
         if len(self.known) > REMEMBERED or len(self.pieces) > REMEMBERED:
             self._forget()
         split = [text.replace("\n", " ").split(" ") for text in texts]
+        seen = [list(map(self.known.get, words)) for words in split]
         new: set[str] = set()
-        for words in split:
-            ids = list(map(self.known.get, words))
+        for words, ids in zip(split, seen, strict=True):
             if None in ids:
-                new.update(word for word, found in zip(words, ids, strict=True) if found is None)
-        self.known.update(self._learn(list(new)))
-        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
+                new.update([word for word, found in zip(words, ids, strict=True) if found is None])
+        fresh = self._learn(list(new))
+        self.known.update(fresh)
+        out = [
+            b"".join([fresh[word] if found is None else found for word, found in zip(words, ids, strict=True)])
+            for words, ids in zip(split, seen, strict=True)
+        ]
         for word in new:
             if len(word) > LONGEST:
                 del self.known[word]
