@@ -13,9 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side of at most this many rows (a name and a count each) is sent to every executor.
-BROADCAST_ROWS = 100_000
-
 
 def event_count(weight: str | None = None) -> Column:
     return F.count(F.lit(1)) if weight is None else F.sum(weight)
@@ -73,13 +70,13 @@ def daily_largest(daily: DataFrame, metric: str, name: str, n: int) -> DataFrame
     return ranked.where(F.col("daily_rank") <= max(1, n)).orderBy("dt", "daily_rank")
 
 
-def join_top(events: DataFrame, top: DataFrame, key: str, n: int) -> DataFrame:
-    """Events of the top-N names; the top side has at most ``max(1, n)`` rows.
+def join_top(events: DataFrame, top: DataFrame, key: str) -> DataFrame:
+    """Events of the top-N names.
 
-    Up to ``BROADCAST_ROWS`` the events are filtered where they are scanned. A longer list
-    is joined as Spark sees fit, with skewed partitions split at run time.
+    Spark knows the limit of the list: a short one is sent to every executor, a long one is
+    joined by sort-merge, with skewed partitions split at run time.
     """
-    return events.join(F.broadcast(top) if n <= BROADCAST_ROWS else top, key)
+    return events.join(top, key)
 
 
 def event_type_breakdown(

@@ -53,15 +53,21 @@ def expected_tracks(days: DataFrame, tracks: Sequence[str] = CHECKED_TRACKS) ->
     return days.select("dt", F.explode(F.array(*map(F.lit, tracks))).alias("track"))
 
 
-def shape_profile(observed: DataFrame) -> DataFrame:
+def shape_profile(observed: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows, parse failures and misfitting payloads per track, day and variant.
 
-    The only pass over the tracks' rows; everything else here derives from this table.
+    The only pass over the tracks' rows; everything else here derives from this table. An
+    observation may stand for several equal rows: ``weight`` is then the column with how many.
     """
+    times = F.lit(1).cast("long") if weight is None else F.col(weight)
+
+    def rows(condition: Column) -> Column:
+        return F.sum(F.when(condition, times).otherwise(F.lit(0).cast("long")))
+
     return observed.groupBy(*TRACK_DAY, "payload_variant").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~F.col("payload_parse_ok")).alias("failures"),
-        F.count_if("payload_corrupt").alias("corrupt"),
+        F.sum(times).alias("rows"),
+        rows(~F.col("payload_parse_ok")).alias("failures"),
+        rows(F.col("payload_corrupt")).alias("corrupt"),
     )
 
 

@@ -32,8 +32,7 @@ def windowed_pull_requests(
     """Pull requests with all window columns, split by size of repository.
 
     Up to ``split_rows`` pull requests a repository's windows run in one task, all on one
-    shuffle. Larger ones are sliced. The repository filter reaches all three scans, so the
-    two ways together read the rows once.
+    shuffle. Larger ones are sliced; then all rows are enriched once, written, and divided.
     """
     tables = (pr_events, reviews, comments)
     large = pr_windows.large_repos(pr_events, split_rows)
@@ -42,9 +41,9 @@ def windowed_pull_requests(
         return pr_windows.speed_windows(pr_windows.opening_windows(prs))
 
     is_large = pr_windows.in_repos(list(large))
-    ordinary = enriched_pull_requests(*(t.where(~is_large) for t in tables))
-    plain = pr_windows.speed_windows(pr_windows.opening_windows(ordinary))
-    huge = materialize(enriched_pull_requests(*(t.where(is_large) for t in tables)), "large-repos")
+    prs = materialize(enriched_pull_requests(*tables), "enriched")
+    plain = pr_windows.speed_windows(pr_windows.opening_windows(prs.where(~is_large)))
+    huge = prs.where(is_large)
     slices = max(2, -(-2 * sum(large.values()) // split_rows))
     return plain.unionByName(pr_windows.split_windows(huge, slices, split_rows))
 

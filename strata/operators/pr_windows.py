@@ -5,10 +5,9 @@ plan until a repository has more pull requests than a task should sort. Reposito
 above a limit take the second way, which never puts more than a slice of one repository
 into a task and gives the same rows:
 
-* ``ordered_positions`` numbers rows across slices: range-partition on (key, order),
-  number inside each slice, add what the earlier slices of the same key hold. Only a
-  slice's first key can have begun earlier, so the carried table is smaller than the
-  number of slices.
+* ``ordered_positions`` numbers rows across slices: range-partition on (key, order), sort and
+  number inside each slice, add what the earlier slices of the same key hold. That is one
+  exchange of the rows; the table of (key, slice) runs is joined as its size asks for.
 * with the position known, the moving frame is cut into equal blocks of positions; each
   block also receives the frame's worth of rows before it.
 """
@@ -23,13 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import hours_between
-from strata.operators.counts import BROADCAST_ROWS
 from strata.session import materialize
 
 # Fixed value: rows before the current one in the "_50" columns, so a frame of 51 rows.
 ROLLING_ROWS = 50
 
-# More pull requests than this in one repository are not left to a single task.
+# More pull requests than this in one repository are not left to a single task. Both ways give
+# the same rows (tested at and around the limit); the limit is a parameter of mart and job.
 SPLIT_ROWS = 2_000_000
 
 _SPEED = "speed"
@@ -78,11 +77,22 @@ def speed_windows(prs: DataFrame) -> DataFrame:
     """
     hours, pr = F.asc_nulls_last("first_review_hours"), F.asc("pull_request_id")
     repo = Window.partitionBy("repo_name")
+    return _day_windows(
+        prs.withColumns(
+            {
+                "repo_review_speed_rank": F.row_number().over(repo.orderBy(hours, pr)).cast("long"),
+                "repo_review_speed_percent_rank": F.percent_rank().over(repo.orderBy(hours)),
+            }
+        )
+    )
+
+
+def _day_windows(prs: DataFrame) -> DataFrame:
+    """Rank by speed within each (repository, day), and its sizes."""
+    hours, pr = F.asc_nulls_last("first_review_hours"), F.asc("pull_request_id")
     day = Window.partitionBy("repo_name", "dt")
     return prs.withColumns(
         {
-            "repo_review_speed_rank": F.row_number().over(repo.orderBy(hours, pr)).cast("long"),
-            "repo_review_speed_percent_rank": F.percent_rank().over(repo.orderBy(hours)),
             "daily_review_speed_rank": F.row_number().over(day.orderBy(hours, pr)).cast("long"),
             **{name: size.over(day) for name, size in _day_sizes().items()},
         }
@@ -107,61 +117,40 @@ def ordered_positions(
     by ``value`` alone. (value, tiebreak) must be unique within a key, and ``value`` must
     not be NULL (wrap a nullable one in a struct).
     """
-    sliced = df.repartitionByRange(slices, *keys, value, tiebreak).withColumn(
-        "slice", F.spark_partition_id()
-    )
-    part = Window.partitionBy("slice", *keys)
-    numbered = materialize(
-        sliced.withColumn("local_position", F.row_number().over(part.orderBy(value, tiebreak)))
-        .withColumn("local_rank", F.rank().over(part.orderBy(value))),
-        "ordered",
+    # One exchange: sorted ranges, written with ids that tell slice and place in the slice.
+    sliced = df.repartitionByRange(slices, *keys, value, tiebreak).sortWithinPartitions(
+        *keys, value, tiebreak
     )
+    numbered = materialize(sliced.withColumn("row_id", F.monotonically_increasing_id()), "ordered")
+    numbered = numbered.withColumn("slice", F.shiftright("row_id", 33).cast("int"))
 
     # One row per (key, slice): at most (keys + slices) rows.
     runs = numbered.groupBy(*keys, "slice").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.max(value).alias("last_value"),
-        F.max("local_rank").alias("last_rank"),
+        F.count(F.lit(1)).alias("rows"), F.min("row_id").alias("first_id")
     )
     earlier = (
         Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    runs = runs.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-    # Where a group of equal values began: the first slice that ends in it.
-    same_end = (
-        Window.partitionBy(*keys, "last_value")
-        .orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+    runs = materialize(
+        runs.select(
+            *(F.col(key).alias(f"run_{key}") for key in keys),
+            F.col("slice").alias("run_slice"),
+            (before + 1 - F.col("first_id")).alias("shift"),
+        ),
+        "runs",
     )
-    runs = runs.withColumn("group_start", F.min(F.col("before") + F.col("last_rank")).over(same_end))
-    by_slice = Window.partitionBy(*keys).orderBy("slice")
-    runs = runs.withColumns(
-        {
-            "open_value": F.lag("last_value").over(by_slice),
-            "open_start": F.lag("group_start").over(by_slice),
-        }
-    )
-    # Ranges are contiguous, so only the first key of a slice can have begun in an earlier
-    # one: fewer rows than slices, which bounds the broadcast.
-    carried = runs.where("before > 0").select(
-        *(F.col(key).alias(f"carried_{key}") for key in keys),
-        F.col("slice").alias("carried_slice"),
-        "before",
-        "open_value",
-        "open_start",
-    )
-    same = F.col("slice") == F.col("carried_slice")
+    same = F.col("slice") == F.col("run_slice")
     for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"carried_{key}"))
-    placed = numbered.join(F.broadcast(carried), same, "left")
-    before = F.coalesce("before", F.lit(0))
-    columns = {position: before + F.col("local_position")}
-    if rank:
-        continues = F.col(value).eqNullSafe(F.col("open_value"))
-        columns[rank] = F.when(continues, F.col("open_start")).otherwise(
-            before + F.col("local_rank")
-        )
-    return placed.select(*df.columns, *(c.alias(name) for name, c in columns.items()))
+        same = same & F.col(key).eqNullSafe(F.col(f"run_{key}"))
+    placed = numbered.join(runs, same).select(
+        *df.columns, (F.col("row_id") + F.col("shift")).alias(position)
+    )
+    if not rank:
+        return placed
+    # Equal values share the smallest of their positions.
+    peers = placed.groupBy(*keys, value).agg(F.min(position).alias(rank))
+    return join_sizes(placed, peers, [*keys, value])
 
 
 def blocked_opening_windows(prs: DataFrame, position: str, block_rows: int) -> DataFrame:
@@ -191,13 +180,12 @@ def blocked_opening_windows(prs: DataFrame, position: str, block_rows: int) -> D
 def join_sizes(rows: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the sizes of each row's group; a NULL key is a group too.
 
-    The sizes are written first and counted: a short table is broadcast, a longer one is
-    joined by sort-merge, where Spark splits the partitions that a large group skews.
+    The sizes are written first, so that Spark knows their bytes: a short table is broadcast,
+    a longer one joined by sort-merge, where partitions that a large group skews are split.
     """
     sizes = materialize(sizes.withColumnsRenamed({k: f"sized_{k}" for k in keys}), "sizes")
-    small = sizes.count() <= BROADCAST_ROWS
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"sized_{k}")) for k in keys))
-    joined = rows.join(F.broadcast(sizes) if small else sizes, same)
+    joined = rows.join(sizes, same)
     return joined.drop(*(f"sized_{k}" for k in keys))
 
 
@@ -225,6 +213,11 @@ def split_windows(prs: DataFrame, slices: int, block_rows: int) -> DataFrame:
     ranked = ranked.withColumn("repo_review_speed_percent_rank", percent).drop(
         "peer_rank", "repo_prs"
     )
+    sizes = [size.alias(name) for name, size in _day_sizes().items()]
+    days = materialize(prs.groupBy("repo_name", "dt").agg(*sizes), "day-sizes")
+    if days.where(F.col("day_pr_count") > block_rows).isEmpty():
+        # No single day is large: its rank and sizes are plain windows, on one shuffle.
+        return _day_windows(ranked.drop(_SPEED))
     daily = ordered_positions(
         ranked,
         ["repo_name", "dt"],
@@ -233,10 +226,7 @@ def split_windows(prs: DataFrame, slices: int, block_rows: int) -> DataFrame:
         slices,
         "daily_review_speed_rank",
     )
-    sizes = [size.alias(name) for name, size in _day_sizes().items()]
-    return join_sizes(
-        daily.drop(_SPEED), prs.groupBy("repo_name", "dt").agg(*sizes), ["repo_name", "dt"]
-    )
+    return join_sizes(daily.drop(_SPEED), days, ["repo_name", "dt"])
 
 
 # --- choice ----------------------------------------------------------------------------

@@ -14,13 +14,12 @@ def branch_counts(pushes: DataFrame) -> DataFrame:
 
 
 def with_daily_share(counts: DataFrame) -> DataFrame:
-    """Add the day's total and each group's share of it (0 for a day without pushes).
+    """Add the day's total and each group's share of it.
 
     A day has four branch groups at most, so the window is over four rows; it replaces a
     second aggregate joined back on the day.
     """
     total = F.sum("push_count").over(Window.partitionBy("dt"))
-    share = F.when(F.col("total_push_count") > 0, F.col("push_count") / F.col("total_push_count"))
     return counts.withColumn("total_push_count", total).withColumn(
-        "branch_ratio", F.coalesce(share, F.lit(0.0))
+        "branch_ratio", F.col("push_count") / F.col("total_push_count")
     )

@@ -6,9 +6,10 @@ payload, projection. The table below holds what differs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import NO_PAYLOAD, payload_fingerprint
@@ -256,9 +257,9 @@ def track(base: DataFrame, name: str) -> DataFrame:
         payload_fingerprint("payload_raw").alias("payload_variant"),
     )
     if spec.explode:
-        # A push without commits has no row to keep: ``required`` drops it either way,
-        # so the inner explode gives the rows of explode_outer + filter.
-        typed = typed.withColumn("item", F.explode(spec.explode))
+        # The outer explode, with ``required`` dropping its empty row: an inner one lets the
+        # optimiser derive filters on the payload and push them below the parse.
+        typed = typed.withColumn("item", F.explode_outer(spec.explode))
     columns = [F.expr(expression).alias(column) for column, expression in spec.columns.items()]
     table = typed.select(
         *SHARED_COLUMNS,
@@ -270,5 +271,73 @@ def track(base: DataFrame, name: str) -> DataFrame:
     return table.dropna(subset=[spec.required]) if spec.required else table
 
 
+def _read_once(event_type: str, exploded: str | None) -> Column:
+    """Flags of a payload from one parse of it; ``items`` counts the rows it explodes to."""
+    if event_type not in PAYLOADS:
+        return F.struct(
+            F.lit(True).alias("payload_parse_ok"),
+            F.lit(False).alias("payload_corrupt"),
+            F.lit(NO_PAYLOAD).alias("payload_variant"),
+            F.lit(0).alias("items"),
+        )
+    payload = F.from_json(
+        "payload_raw", with_corrupt(PAYLOADS[event_type]), {"columnNameOfCorruptRecord": CORRUPT}
+    )
+
+    def flags(p: Column) -> Column:
+        items = F.lit(0)
+        if exploded:
+            spec = TRACKS[exploded]
+            key = spec.columns[spec.required].removeprefix("item.")
+            inside = p[spec.explode.removeprefix("payload.")]
+            items = F.size(F.filter(inside, lambda item: item[key].isNotNull()))
+        return F.struct(
+            p.isNotNull().alias("payload_parse_ok"),
+            p[CORRUPT].isNotNull().alias("payload_corrupt"),
+            payload_fingerprint("payload_raw").alias("payload_variant"),
+            F.greatest(items, F.lit(0)).alias("items"),
+        )
+
+    return F.element_at(F.transform(F.array(payload), flags), 1)
+
+
+def observed_payloads(base: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """``track, dt, payload_parse_ok, payload_corrupt, payload_variant, times`` of tracks.
+
+    What drift and profiles need of the tracks, from one scan of the base events: a payload's
+    flags depend on its event type alone, and ``times`` is how many rows of the track it is
+    (a push is one row of ``events_push`` and one of ``push_commits`` for each commit).
+    """
+    wanted = list(TRACKS) if names is None else list(names)
+    whole = {TRACKS[n].event_type: n for n in wanted if not TRACKS[n].explode}
+    parts = {TRACKS[n].event_type: n for n in wanted if TRACKS[n].explode}
+    read, rows = None, None
+    for event_type in dict.fromkeys([*whole, *parts]):
+        is_type = F.col("event_type") == event_type
+        flags = _read_once(event_type, parts.get(event_type))
+        read = F.when(is_type, flags) if read is None else read.when(is_type, flags)
+        entries = [F.struct(F.lit(whole[event_type]).alias("track"), F.lit(1).alias("times"))] if event_type in whole else []
+        if event_type in parts:
+            entries.append(F.struct(F.lit(parts[event_type]).alias("track"), F.col("read.items").alias("times")))
+        own = F.array(*entries)
+        rows = F.when(is_type, own) if rows is None else rows.when(is_type, own)
+    # A one-element explode keeps filters on the flags above the parse.
+    seen = base.where(F.col("event_type").isin([*whole, *parts])).select(
+        "dt", "event_type", F.explode(F.array(read)).alias("read")
+    )
+    return (
+        seen.select("dt", "read", F.explode(rows).alias("row"))
+        .where("row.times > 0")
+        .select(
+            "row.track",
+            "dt",
+            "read.payload_parse_ok",
+            "read.payload_corrupt",
+            "read.payload_variant",
+            F.col("row.times").cast("long").alias("times"),
+        )
+    )
+
+
 def all_tracks(base: DataFrame) -> dict[str, DataFrame]:
     return {name: track(base, name) for name in TRACKS}

@@ -14,7 +14,7 @@ from strata.operators.manifest import days as day_rows
 from strata.operators.tracks import TRACKS, track
 from strata.plans import marts
 from strata.plans.marts import Days
-from strata.session import materialize, run_together
+from strata.session import materialize, require_utc, run_together, scratch
 from strata.sources import bronze, gold, metadata, silver
 
 
@@ -51,6 +51,7 @@ def load_silver(
     that normalisation dropped, events of another day, events kept. They inform: a stage
     that is recomputed after a loss may count its lines again, the tables stay right.
     """
+    require_utc(lines.sparkSession)
     seen, readable, valid, kept = (Observation(n) for n in ("seen", "readable", "valid", "kept"))
     count = F.count(F.lit(1)).alias("n")
     parsed = events.parse_lines(lines).observe(seen, count)
@@ -100,11 +101,13 @@ def run_silver(
     return load_silver(lines, lake, days, repartition, coalesce)
 
 
-def silver_audit(spark: SparkSession, lake: str) -> DataFrame:
-    """Files, bytes and rows per dataset and day, over all silver tables."""
+def silver_audit(spark: SparkSession, lake: str, days: Days) -> DataFrame:
+    """Files, bytes and rows per dataset and day of the range, and which are missing."""
     root = silver_root(lake)
     parts = [
-        silver.audit_days(spark, root, name).withColumn("dataset", F.lit(name))
+        silver.audit_days(spark, root, name, days.start, days.end).withColumn(
+            "dataset", F.lit(name)
+        )
         for name in (silver.BASE, *TRACKS)
     ]
     audit = parts[0]
@@ -125,35 +128,41 @@ def run_drift(
 ) -> DataFrame:
     """Judge one day against the registry, store the verdict, register what is new.
 
-    Silver is read from the lake, or from ``silver_source``. The verdicts of the tracks come back, one row each. The first run finds an empty
-    registry, so it always reports drift; a variant alerts once.
+    Silver is read from the lake, or from ``silver_source``. A variant is known if an earlier
+    day has shown it, so a rerun of a day comes to the same verdict. The first run finds an
+    empty registry and always reports drift. The verdicts come back as they were stored, one
+    row for each track.
     """
+    require_utc(spark)
     names = tracks or drift.CHECKED_TRACKS
     root = metadata_root(lake)
     source = silver_source or silver_root(lake)
-    observed = drift.observations(
-        {n: silver.read_day_or_empty(spark, source, n, day) for n in names}
-    )
-    # Small from here on: one row per track and variant of the day.
-    profile = materialize(drift.shape_profile(observed), "drift-profile")
-    variants = drift.variant_counts(profile)
-    registry, version = metadata.read_registry(spark, root)
-    labelled = drift.label_variants(variants, registry, scope)
-    expected = drift.expected_tracks(day_rows(spark, day, day), names)
-    verdicts = materialize(
-        drift.track_verdicts(
-            expected, drift.parse_health(profile), labelled, failure_threshold, new_threshold
-        ),
-        "drift-verdicts",
-    )
-    daily = drift.daily_verdicts(verdicts)
-    metadata.write_results(daily, verdicts, labelled, root)
-    metadata.append_history(daily, root)
-    if daily.first().total_new_variants > 0:
-        new = drift.new_variants(variants, registry, scope)
-        merged = drift.merge_registry(registry, new, scope)
-        metadata.write_registry(merged, root, version + 1)
-    return verdicts
+    with scratch(spark, "drift"):
+        observed = drift.observations(
+            {n: silver.read_day_or_empty(spark, source, n, day) for n in names}
+        )
+        # Small from here on: one row per track and variant of the day.
+        profile = materialize(drift.shape_profile(observed), "drift-profile")
+        variants = drift.variant_counts(profile)
+        registry, version = metadata.read_registry(spark, root)
+        earlier = registry.where(F.col("first_seen_dt") < F.lit(day))
+        labelled = drift.label_variants(variants, earlier, scope)
+        expected = drift.expected_tracks(day_rows(spark, day, day), names)
+        verdicts = materialize(
+            drift.track_verdicts(
+                expected, drift.parse_health(profile), labelled, failure_threshold, new_threshold
+            ),
+            "drift-verdicts",
+        )
+        daily = drift.daily_verdicts(verdicts)
+        metadata.write_results(daily, verdicts, labelled, root)
+        metadata.append_history(daily, root)
+        merged = drift.merge_registry(registry, drift.new_variants(variants, earlier, scope), scope)
+        known = registry.select(merged.columns)
+        if not merged.exceptAll(known).isEmpty():
+            metadata.write_registry(merged, root, version + 1)
+        schema = verdicts.schema
+    return metadata.read_verdicts(spark, root, day, schema)
 
 
 def run_gold(
@@ -172,9 +181,30 @@ def run_gold(
     """All marts over the days; returns the names of those written.
 
     Marts that count events are built from two rollups, so the base table is scanned
-    twice instead of once per mart. The five top-N marts are replaced whole by each run
-    and written as one file; the daily ones replace their own days only.
+    twice instead of once per mart. The five top-N marts are replaced whole by each run,
+    in their order; the daily ones replace their own days only.
     """
+    require_utc(spark)
+    with scratch(spark, "gold"):
+        return _write_marts(
+            spark, lake, days, top_n, top_event_types, daily_top_n, top_actors, actor_metric,
+            fmt, files, split_rows,
+        )
+
+
+def _write_marts(
+    spark: SparkSession,
+    lake: str,
+    days: Days,
+    top_n: int,
+    top_event_types: int,
+    daily_top_n: int,
+    top_actors: int,
+    actor_metric: str,
+    fmt: str,
+    files: int,
+    split_rows: int,
+) -> list[str]:
     source = silver_root(lake)
 
     def read(dataset: str) -> DataFrame:
@@ -217,7 +247,7 @@ def run_gold(
     by_day = {name: mart for name, mart in by_day.items() if mart is not None}
     run_together(
         [
-            partial(gold.write_mart, mart, f"{target}/{name}", fmt, max(1, files))
+            partial(gold.write_mart, mart, f"{target}/{name}", fmt, files)
             for name, mart in whole.items()
         ]
         + [

@@ -69,7 +69,7 @@ def top_repo_event_types(
     events: DataFrame, top: DataFrame, days: Days, n: int = 10, weight: str | None = None
 ) -> DataFrame:
     """Event types of the top repositories. Events without a repository match none."""
-    joined = counts.join_top(events, repo_dim(top), "repo_name", n)
+    joined = counts.join_top(events, repo_dim(top), "repo_name")
     return days.stamp(
         counts.event_type_breakdown(joined, "repo_name", "repo_event_count", weight)
     )
@@ -103,7 +103,7 @@ def top_actor_event_types(
     metric: str = "event_count",
     weight: str | None = None,
 ) -> DataFrame:
-    joined = counts.join_top(events, actor_dim(top, metric), "actor_login", n)
+    joined = counts.join_top(events, actor_dim(top, metric), "actor_login")
     return days.stamp(
         counts.event_type_breakdown(joined, "actor_login", ACTOR_METRICS[metric], weight)
     )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +48,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path of its own under the shared folder."""
-    return f"{shared_folder(spark)}/strata/{name}-{uuid.uuid4().hex}"
+    """A new path of its own under the shared folder, or under the job's scratch folder."""
+    parent = _scope.get() or f"{shared_folder(spark)}/strata"
+    return f"{parent}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """A scratch folder for a job: what is materialised inside goes there and is removed at
+    the end, so results must have been written elsewhere by then."""
+    folder = scratch_path(spark, name)
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Days are UTC days: a session of another zone would put events into other partitions."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -69,5 +96,5 @@ def run_together(writes: Iterable[Callable[[], None]], at_once: int = 4) -> None
     Waits for all of them; the first failure is raised.
     """
     with ThreadPoolExecutor(at_once) as pool:
-        for done in [pool.submit(write) for write in writes]:
+        for done in [pool.submit(copy_context().run, write) for write in writes]:
             done.result()

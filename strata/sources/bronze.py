@@ -44,13 +44,21 @@ def read_days(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> D
     return read_lines(spark, *(day_glob(root, start + dt.timedelta(n)) for n in range(span)))
 
 
-def landed_files(spark: SparkSession, root: str) -> DataFrame:
-    """``source_name, bytes`` of every landed file; lists the store without opening files."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json.gz")
-        .load(root)
-    )
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("source_name"), F.col("length").alias("bytes"))
+def landed_files(
+    spark: SparkSession, root: str, start: dt.date, end: dt.date, name: str = "*.json.gz"
+) -> DataFrame:
+    """``source_name, bytes`` of the files that landed for the days.
+
+    Lists the days' own folders, without opening files. ``name`` is the glob of file names.
+    """
+    span = (end - start).days + 1
+    folders = ",".join(f"{start + dt.timedelta(n):%Y/%m/%d}" for n in range(span))
+    due = f"{root.rstrip('/')}/{{{folders}}}/{name}"
+    try:
+        files = spark.read.format("binaryFile").load(due)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "source_name string, bytes long")
+    source = F.element_at(F.split("path", "/"), -1)
+    return files.select(source.alias("source_name"), F.col("length").alias("bytes"))

@@ -18,7 +18,8 @@ def write_mart(
 
     ``files`` coalesces to that many, which also narrows the work before it: use it for
     marts of bounded size. Without it a partitioned mart is rebalanced on its partition
-    column, so small days get one file each and large ones are split by size at run time.
+    column, so small days get one file each and large ones are split by size at run time;
+    an ordered mart without partitions keeps the ranges of its sort, small ones as one file.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}: {fmt}")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +42,10 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def registry_version(spark: SparkSession, root: str) -> int:
-    schema = T.StructType([*REGISTRY.fields, T.StructField("version", T.IntegerType())])
-    versions = _read_or_empty(spark, _registry_root(root), schema)
-    return versions.agg(F.max("version").alias("v")).first().v or FIRST_VERSION
+    """The latest snapshot's number, from the names of the files: no snapshot is read."""
+    files = _read_or_empty(spark, _registry_root(root), REGISTRY).inputFiles()
+    found = [int(m[1]) for m in (re.search(r"/version=(\d+)/", f) for f in files) if m]
+    return max(found, default=FIRST_VERSION)
 
 
 def read_registry(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
@@ -82,6 +86,20 @@ def write_results(daily: DataFrame, verdicts: DataFrame, variants: DataFrame, ro
         )
 
 
+def read_verdicts(
+    spark: SparkSession, root: str, day: dt.date, schema: T.StructType
+) -> DataFrame:
+    """The stored track rows of a day; ``schema`` is that of the verdicts."""
+    stored = T.ArrayType(T.StructType([f for f in schema.fields if f.name != "dt"]))
+    document = T.StructType(
+        [T.StructField("track_results", stored), T.StructField("target_date", T.DateType())]
+    )
+    documents = spark.read.schema(document).json(f"{root.rstrip('/')}/drift_results")
+    own = documents.where(F.col("target_date") == F.lit(day))
+    rows = own.select(F.col("target_date").alias("dt"), F.explode("track_results").alias("r"))
+    return rows.select(*("dt" if n == "dt" else f"r.{n}" for n in schema.fieldNames()))
+
+
 def read_history(spark: SparkSession, root: str) -> DataFrame:
     return _read_or_empty(spark, f"{root.rstrip('/')}/drift_history", HISTORY)
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import in_days
 from strata.functions.schemas import EVENTS_BASE
+from strata.operators.manifest import days
 from strata.operators.tracks import TRACKS, track
 
 BASE = "events_base"
@@ -127,14 +128,23 @@ def write_days(
     writer.partitionBy("dt").parquet(table_path(root, dataset))
 
 
-def audit_days(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Files, bytes and rows per day of a dataset. A dataset never written is an error."""
-    table = read_table(spark, root, dataset)
+def audit_days(
+    spark: SparkSession, root: str, dataset: str, start: dt.date, end: dt.date
+) -> DataFrame:
+    """Files, bytes and rows of each day of the range, ``missing`` where a day has no partition.
+
+    Only the range's partitions are listed. A dataset never written is an error.
+    """
+    table = read_days(spark, root, dataset, start, end)
     files = table.groupBy("dt", "_metadata.file_path", "_metadata.file_size").agg(
         F.count(F.lit(1)).alias("rows")
     )
-    return files.groupBy("dt").agg(
+    found = files.groupBy("dt").agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("file_size").alias("bytes"),
         F.sum("rows").alias("rows"),
     )
+    joined = days(spark, start, end).join(found, "dt", "left")
+    return joined.withColumn("missing", F.col("files").isNull()).fillna(
+        0, ["files", "bytes", "rows"]
+    )

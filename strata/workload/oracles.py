@@ -650,7 +650,12 @@ def _over_events(select: str) -> str:
     return _with(_FACTS, _EVENTS, select=select)
 
 
+#: The lake holds the days that the lines span.
+_SPAN = "(SELECT min(dt) FROM facts) AS start_dt, (SELECT max(dt) FROM facts) AS end_dt"
+
+
 def _over_silver(select: str) -> str:
+    select = select.replace(_JANUARY, _SPAN)
     return _with(_FACTS, _SILVER, _SILVER_EVENTS, _SILVER_PUSHES, select=select)
 
 
@@ -756,13 +761,18 @@ def all_oracles() -> dict[str, str]:
         ),
         "track_profile": _with(
             _FACTS,
-            select="SELECT count(*) AS rows, count(*) FILTER (WHERE fault <> 'no payload') "
-            f"AS payload_ok FROM facts WHERE {IS_VALID} AND kind = 'PushEvent'",
-        ),
-        "day_preview": _with(
-            _FACTS,
-            select="SELECT dt, least(count(*), 20) AS rows FROM facts "
-            f"WHERE {IS_VALID} AND dt = DATE '{rules.DRIFT_DAY}' GROUP BY 1",
+            _COMMITS,
+            select="SELECT track, coalesce(rows, 0) AS rows, coalesce(payload_ok, 0) AS payload_ok FROM "
+            f"(SELECT unnest({[*_TRACK_KIND, 'push_commits']}) AS track) LEFT JOIN (SELECT track, count(*) AS rows, "
+            "count(*) FILTER (WHERE payload_parse_ok) AS payload_ok FROM ("
+            f"SELECT {_TRACK} AS track, {_VERDICT['payload_parse_ok']} AS payload_parse_ok FROM facts "
+            f"WHERE {IS_VALID} UNION ALL SELECT 'push_commits', {_VERDICT['payload_parse_ok']} "
+            "FROM commits) GROUP BY 1) USING (track)",
+        ),
+        "day_preview": _over_raw(
+            "SELECT dt, event_id, event_type, repo_name, actor_login, created_at_ts FROM "
+            f"(SELECT {_select(_BASE_COLUMNS)} FROM raw WHERE {IS_VALID}) "
+            f"WHERE dt = DATE '{rules.DRIFT_DAY}' ORDER BY created_at_ts, event_id LIMIT 20"
         ),
         "pr_base": _pr(f"SELECT {_PR_BASE_COLUMNS} FROM pr_base"),
         "pr_review_stats": _pr(
@@ -863,6 +873,20 @@ def all_oracles() -> dict[str, str]:
             f"SELECT {_TRACK}, dt FROM silver UNION ALL "
             f"SELECT 'push_commits', dt FROM commits WHERE NOT ({IS_LATE})) GROUP BY 1, 2",
         ),
+        "output_audit": _with(
+            _FACTS,
+            _SILVER,
+            _COMMITS,
+            select="SELECT dataset, dt, coalesce(rows, 0) AS rows, rows IS NULL AS missing, "
+            "rows IS NOT NULL AS has_files, rows IS NOT NULL AS has_bytes FROM "
+            f"(SELECT unnest({['events_base', *_TRACK_KIND, 'push_commits']}) AS dataset) CROSS JOIN "
+            "(SELECT CAST(unnest(generate_series(min(dt) - INTERVAL 1 DAY, max(dt) + INTERVAL 1 DAY, "
+            "INTERVAL 1 DAY)) AS DATE) AS dt FROM facts) LEFT JOIN (SELECT dataset, dt, count(*) AS rows "
+            f"FROM (SELECT 'events_base' AS dataset, dt FROM silver UNION ALL "
+            f"SELECT {_TRACK}, dt FROM silver UNION ALL "
+            f"SELECT 'push_commits', dt FROM commits WHERE NOT ({IS_LATE})) GROUP BY 1, 2) "
+            "USING (dataset, dt)",
+        ),
         "gold_top_repos": _over_silver(_stamped(silver_repos)),
         "gold_event_type_counts": _over_silver(_stamped(_top("s_events", *types))),
         "gold_top_repo_event_types": _over_silver(
@@ -879,7 +903,7 @@ def all_oracles() -> dict[str, str]:
             _SILVER,
             _SILVER_PR,
             _PR_STATS,
-            select=_latency("2024-01-01", "2024-01-31"),
+            select=_latency("2024-01-01", "2024-01-31").replace(_JANUARY, _SPAN),
         ),
         "drift_job": _with(*_TWO_RUNS, select="SELECT * FROM verdicts"),
         "drift_job_registry": _with(

@@ -258,14 +258,10 @@ for _name in tracks.TRACKS:
     _track_query(_name)
 
 
-def _all_tracks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return tracks.all_tracks(views.base_table(spark, sf_dir))
-
-
 @query
 def payload_variant(spark, sf_dir):
-    observed = drift.observations(_all_tracks(spark, sf_dir))
-    return observed.groupBy("track", "payload_variant").agg(F.count(F.lit(1)).alias("rows"))
+    observed = tracks.observed_payloads(views.base_table(spark, sf_dir))
+    return observed.groupBy("track", "payload_variant").agg(F.sum("times").alias("rows"))
 
 
 @query
@@ -275,18 +271,16 @@ def type_profile(spark, sf_dir):
 
 @query
 def track_profile(spark, sf_dir):
-    return profile.track_profile(
-        tracks.track(events.events_base(views.raw_lines(spark, sf_dir)), "events_push")
-    )
+    base = events.events_base(views.raw_lines(spark, sf_dir))
+    return profile.track_profiles(tracks.observed_payloads(base), tracks.TRACKS)
 
 
 @query
 def day_preview(spark, sf_dir):
-    """Any twenty rows of a day: only their number is determined."""
     base = events.events_base(views.raw_lines(spark, sf_dir))
-    columns = ["dt", "event_type", "repo_name", "actor_login", "created_at_ts"]
-    shown = profile.preview(base.where(in_days(DRIFT_DAY, DRIFT_DAY)), columns)
-    return shown.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
+    columns = ["dt", "event_id", "event_type", "repo_name", "actor_login", "created_at_ts"]
+    shown = base.where(in_days(DRIFT_DAY, DRIFT_DAY))
+    return rounded(profile.preview(shown, columns, ["created_at_ts", "event_id"]))
 
 
 # --- pull requests -----------------------------------------------------------------------
@@ -386,9 +380,10 @@ def pr_review_latency_split(spark, sf_dir):
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _all_tracks(spark, sf_dir)
-    observed = drift.observations({name: found[name] for name in drift.CHECKED_TRACKS})
-    return drift.shape_profile(observed)
+    base = views.base_table(spark, sf_dir)
+    return drift.shape_profile(
+        tracks.observed_payloads(base, drift.CHECKED_TRACKS), "times"
+    )
 
 
 def _before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -473,6 +468,11 @@ def drift_history(spark, sf_dir):
 # --- bookkeeping of landed hours ---------------------------------------------------------
 
 
+def _span(spark: SparkSession, sf_dir: str) -> marts.Days:
+    """The first and the last day of the archive's lines."""
+    return marts.Days(*views.facts(spark, sf_dir).agg(F.min("dt"), F.max("dt")).first())
+
+
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days that the archive's lines span."""
     ends = views.facts(spark, sf_dir).agg(F.min("dt").alias("first"), F.max("dt").alias("last"))
@@ -529,8 +529,9 @@ def _lake(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _lakes:
         lake = scratch_path(spark, "lake")
-        report = jobs.load_silver(views.raw_lines(spark, sf_dir), lake, JANUARY)
-        jobs.run_gold(spark, lake, JANUARY)
+        days = _span(spark, sf_dir)
+        report = jobs.load_silver(views.raw_lines(spark, sf_dir), lake, days)
+        jobs.run_gold(spark, lake, days)
         _lakes[key] = lake, report
     return _lakes[key]
 
@@ -545,8 +546,8 @@ def silver_report(spark, sf_dir):
 @query
 def silver_rows(spark, sf_dir):
     """The audit's rows per dataset and day, with whether files and bytes were found."""
-    audit = jobs.silver_audit(spark, _lake(spark, sf_dir)[0])
-    return audit.select(
+    audit = jobs.silver_audit(spark, _lake(spark, sf_dir)[0], _span(spark, sf_dir))
+    return audit.where("NOT missing").select(
         "dataset",
         "dt",
         "rows",
@@ -557,8 +558,19 @@ def silver_rows(spark, sf_dir):
 
 @query
 def output_audit(spark, sf_dir):
-    """The audit itself; file counts and sizes depend on the writer."""
-    return jobs.silver_audit(spark, _lake(spark, sf_dir)[0])
+    """The audit of all days and one more on either side; sizes depend on the writer."""
+    own, day = _span(spark, sf_dir), dt.timedelta(days=1)
+    audit = jobs.silver_audit(
+        spark, _lake(spark, sf_dir)[0], marts.Days(own.start - day, own.end + day)
+    )
+    return audit.select(
+        "dataset",
+        "dt",
+        "rows",
+        "missing",
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") > 0).alias("has_bytes"),
+    )
 
 
 def _gold_query(name: str) -> None:

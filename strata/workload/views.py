@@ -51,9 +51,9 @@ def _at_rest(
 
 
 def _spread(df: DataFrame, *order: str) -> DataFrame:
-    """At least a file per core, as a real table would have."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(cores, *order) if order else df.repartition(cores)
+    """A file for each split of the scanned table, and for each core at least."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    return df.repartitionByRange(parts, *order) if order else df.repartition(parts)
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

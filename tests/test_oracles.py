@@ -12,8 +12,6 @@ from strata.workload.queries import all_queries
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no benchmark tables")
 
-WITHOUT_ORACLE = {"output_audit"}
-
 
 @pytest.fixture(scope="module")
 def tables():
@@ -21,7 +19,7 @@ def tables():
 
 
 def test_every_query_has_an_oracle():
-    assert set(all_queries()) - set(all_oracles()) == WITHOUT_ORACLE
+    assert set(all_queries()) == set(all_oracles())
     assert set(all_queries()) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 

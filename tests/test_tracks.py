@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import payload_fingerprint
 from strata.functions.schemas import EVENTS_BASE
-from strata.operators.tracks import SHARED_COLUMNS, TRACKS, all_tracks, track
+from strata.operators.drift import observations, shape_profile
+from strata.operators.tracks import SHARED_COLUMNS, TRACKS, all_tracks, observed_payloads, track
 
 
 def base(spark, event_type, *payloads):
@@ -155,3 +156,27 @@ def test_every_track_selects_its_type_and_columns(spark):
         assert table.columns == [*SHARED_COLUMNS, *flags, *spec.columns]
     assert track(events, "events_fork").count() == 1
     assert track(events, "events_watch").count() == 0
+
+
+@pytest.mark.parametrize("name", TRACKS)
+def test_each_payload_is_parsed_once(spark, name):
+    """Also where few columns are read, or counted: filters must not repeat the parse."""
+    table = track(base(spark, TRACKS[name].event_type, {}), name)
+    typed = [c for c in table.columns if c not in SHARED_COLUMNS]
+    few = [table, table.select("dt", typed[-1]), table.groupBy("payload_parse_ok").count()]
+    for df in few:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") <= 1
+
+
+def test_observed_payloads_are_the_tracks_rows(spark):
+    events = [base(spark, t, {"ref": "x", "size": "bad"}, "{", None, {"commits": [{"sha": "a"}, {"sha": "b"}, {}]})
+              for t in ("PushEvent", "WatchEvent", "PublicEvent", "NoSuchEvent")]
+    together = events[0].union(events[1]).union(events[2]).union(events[3])
+    observed = observed_payloads(together)
+    wanted = shape_profile(observations(all_tracks(together)))
+    assert sorted(map(tuple, shape_profile(observed, "times").collect()), key=repr) == sorted(
+        map(tuple, wanted.collect()), key=repr
+    )
+    plan = observed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 4  # one scan of each input

@@ -59,7 +59,8 @@ def tables(spark):
     return pr_tables(spark, {"hot": 700, None: 150, "a": 60, "b": 8, "solo": 1})
 
 
-@pytest.mark.parametrize("split_rows", [600, 100, 40])
+# The largest repositories have 700 and 150 pull requests: below, at and above those sizes.
+@pytest.mark.parametrize("split_rows", [701, 700, 699, 600, 151, 150, 149, 100, 40])
 def test_sliced_windows_equal_plain_ones(tables, split_rows):
     plain = latency.windowed_pull_requests(*tables)
     sliced = latency.windowed_pull_requests(*tables, split_rows=split_rows)
@@ -102,6 +103,15 @@ def test_ordered_positions_match_brute_force(spark, slices):
     assert sorted(map(tuple, got.collect())) == sorted(expected)
 
 
+def test_an_ordering_shuffles_the_rows_once(spark):
+    df = spark.range(100).selectExpr("'k' AS k", "id AS v", "id")
+    got = pr_windows.ordered_positions(df, ["k"], "v", "id", 4, "pos")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan  # the ranges are read from where they were written
+    assert "Window" not in plan
+    assert sorted(r["pos"] for r in got.collect()) == list(range(1, 101))
+
+
 def test_opening_windows_golden(spark):
     at = [EPOCH + dt.timedelta(hours=h) for h in (0, 2, 2, 5)]
     prs = spark.createDataFrame(
