@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keyed, ship_package, whole
+from strata.llm.common import keyed, ship_package
 from strata.session import materialize
 
 LENGTH = 100
@@ -171,7 +171,7 @@ def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            for key, text, runs in zip(batch.column(2).to_pylist(), batch.column(1), batch.column(3), strict=True):
                 data, rows = (text.as_py() or "").encode(), runs.as_py()
                 for at in range(0, len(rows), 20_000):
                     few = rows[at : at + 20_000]
@@ -185,7 +185,8 @@ def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     )
 
     lists = wanted.groupBy("_key").agg(F.collect_list(F.struct("gram", "at")).alias("runs"))
-    joined = docs.join(lists, "_key").select("_key", "text", "runs")
+    # The columns of the last join, so that both joins read one shuffle of the texts.
+    joined = docs.join(lists, "_key").select(*docs.columns, "runs")
     return joined.mapInArrow(cut, "gram long, _key long, at long, bytes binary")
 
 
@@ -249,7 +250,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without their spans; spans are merged where they touch."""
     for batch in batches:
         ids, sizes, all_spans, kept = [], [], [], []
-        for doc_id, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+        for doc_id, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(3), strict=True):
             data = (text.as_py() or "").encode()
             merged: list[list[int]] = []
             for start, end in sorted((x["start"], x["end"]) for x in spans.as_py() or ()):
@@ -305,5 +306,5 @@ def suffix_dedup(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     if not mixed.where("crowded").isEmpty():
         spans = spans.union(_dealt_by_window(_cut(own, wanted.where("crowded").select("gram", "_key", "at"))))
     lists = spans.groupBy("_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = own.join(lists, "_key", "left").select("doc_id", whole("text").alias("text"), "spans")
+    joined = own.join(lists, "_key", "left").select(*own.columns, "spans")
     return joined.mapInArrow(_apply, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
