@@ -468,7 +468,7 @@ def drift_history(spark, sf_dir):
 # --- bookkeeping of landed hours ---------------------------------------------------------
 
 
-def _span(spark: SparkSession, sf_dir: str) -> marts.Days:
+def span(spark: SparkSession, sf_dir: str) -> marts.Days:
     """The first and the last day of the archive's lines."""
     return marts.Days(*views.facts(spark, sf_dir).agg(F.min("dt"), F.max("dt")).first())
 
@@ -529,7 +529,7 @@ def _lake(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _lakes:
         lake = scratch_path(spark, "lake")
-        days = _span(spark, sf_dir)
+        days = span(spark, sf_dir)
         report = jobs.load_silver(views.raw_lines(spark, sf_dir), lake, days)
         jobs.run_gold(spark, lake, days)
         _lakes[key] = lake, report
@@ -546,7 +546,7 @@ def silver_report(spark, sf_dir):
 @query
 def silver_rows(spark, sf_dir):
     """The audit's rows per dataset and day, with whether files and bytes were found."""
-    audit = jobs.silver_audit(spark, _lake(spark, sf_dir)[0], _span(spark, sf_dir))
+    audit = jobs.silver_audit(spark, _lake(spark, sf_dir)[0], span(spark, sf_dir))
     return audit.where("NOT missing").select(
         "dataset",
         "dt",
@@ -559,7 +559,7 @@ def silver_rows(spark, sf_dir):
 @query
 def output_audit(spark, sf_dir):
     """The audit of all days and one more on either side; sizes depend on the writer."""
-    own, day = _span(spark, sf_dir), dt.timedelta(days=1)
+    own, day = span(spark, sf_dir), dt.timedelta(days=1)
     audit = jobs.silver_audit(
         spark, _lake(spark, sf_dir)[0], marts.Days(own.start - day, own.end + day)
     )
