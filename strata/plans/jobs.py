@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import in_days
-from strata.operators import counts, drift, events, pr_windows
+from strata.operators import counts, drift, events, pr_windows, profile
 from strata.operators.manifest import days as day_rows
 from strata.operators.tracks import TRACKS, track
 from strata.plans import marts
@@ -116,6 +116,18 @@ def silver_audit(spark: SparkSession, lake: str, days: Days) -> DataFrame:
     return audit
 
 
+def silver_profile(spark: SparkSession, lake: str, days: Days) -> DataFrame:
+    """Rows, and rows with a readable payload, of every track over the days."""
+    root = silver_root(lake)
+    parts = [
+        profile.track_profile(silver.read_days(spark, root, name, days.start, days.end)).select(
+            F.lit(name).alias("track"), "rows", "payload_ok"
+        )
+        for name in TRACKS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_drift(
     spark: SparkSession,
     lake: str,
@@ -142,15 +154,15 @@ def run_drift(
             {n: silver.read_day_or_empty(spark, source, n, day) for n in names}
         )
         # Small from here on: one row per track and variant of the day.
-        profile = materialize(drift.shape_profile(observed), "drift-profile")
-        variants = drift.variant_counts(profile)
+        shapes = materialize(drift.shape_profile(observed), "drift-profile")
+        variants = drift.variant_counts(shapes)
         registry, version = metadata.read_registry(spark, root)
         earlier = registry.where(F.col("first_seen_dt") < F.lit(day))
         labelled = drift.label_variants(variants, earlier, scope)
         expected = drift.expected_tracks(day_rows(spark, day, day), names)
         verdicts = materialize(
             drift.track_verdicts(
-                expected, drift.parse_health(profile), labelled, failure_threshold, new_threshold
+                expected, drift.parse_health(shapes), labelled, failure_threshold, new_threshold
             ),
             "drift-verdicts",
         )

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def day_glob(root: str, day: dt.date) -> str:
-    return f"{root.rstrip('/')}/{day:%Y/%m/%d}/*.json.gz"
+def day_glob(root: str, day: dt.date, name: str = "*.json.gz") -> str:
+    return f"{root.rstrip('/')}/{day:%Y/%m/%d}/{name}"
 
 
 def hour_file(root: str, hour: dt.datetime) -> str:
@@ -30,8 +30,10 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
-def read_day(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
-    return read_lines(spark, day_glob(root, day))
+def read_day(
+    spark: SparkSession, root: str, day: dt.date, name: str = "*.json.gz"
+) -> DataFrame:
+    return read_lines(spark, day_glob(root, day, name))
 
 
 def read_hour(spark: SparkSession, root: str, hour: dt.datetime) -> DataFrame:

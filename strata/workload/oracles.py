@@ -719,6 +719,10 @@ def all_oracles() -> dict[str, str]:
         "push_branch_groups": _with(_FACTS, _PUSHES, select=_BRANCHES.format(base="v_push")),
         "push_branch_ratio": _with(_FACTS, _PUSHES, select=_branch_ratio("v_push")),
         "bronze_lines": _over_raw("SELECT raw_json, TRUE AS has_source FROM raw"),
+        "bronze_day": _over_raw(
+            f"SELECT raw_json, '{rules.DRIFT_DAY.replace('-', '/')}' AS folder FROM raw "
+            f"WHERE source_file LIKE 'archive/{rules.DRIFT_DAY.replace('-', '/')}/%'"
+        ),
         "envelope_parse": _over_raw(
             "SELECT CAST(e AS VARCHAR) AS event_id, kind AS event_type, created_at, "
             "payload_text AS payload_raw, fault = 'wrong type' AS is_corrupt "
@@ -905,6 +909,11 @@ def all_oracles() -> dict[str, str]:
             _PR_STATS,
             select=_latency("2024-01-01", "2024-01-31").replace(_JANUARY, _SPAN),
         ),
+        "gold_csv_top_repos": _over_silver(_stamped(silver_repos)),
+        "drift_job_results": _with(
+            *_TWO_RUNS, select="SELECT *, (SELECT count(*) FROM verdicts) AS tracks FROM daily"
+        ),
+        "drift_job_history": _with(*_TWO_RUNS, select="SELECT *, TRUE AS recorded FROM daily"),
         "drift_job": _with(*_TWO_RUNS, select="SELECT * FROM verdicts"),
         "drift_job_registry": _with(
             _FACTS,

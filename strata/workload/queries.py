@@ -23,7 +23,7 @@ from strata.operators import (
 )
 from strata.plans import jobs, marts
 from strata.session import materialize, scratch_path
-from strata.sources import bronze, metadata, silver
+from strata.sources import bronze, gold, metadata, silver
 from strata.workload import rules, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,6 +199,18 @@ def bronze_lines(spark, sf_dir):
     return scanned.select("raw_json", F.col("source_file").endswith(".gz").alias("has_source"))
 
 
+@query
+def bronze_day(spark, sf_dir):
+    """A day's folder out of two that have landed, with the folder each line came from."""
+    path, lines = scratch_path(spark, "bronze-days"), views.raw_lines(spark, sf_dir)
+    for day in (DRIFT_DAY - dt.timedelta(days=1), DRIFT_DAY):
+        own = lines.where(F.col("source_file").startswith(f"archive/{day:%Y/%m/%d}/"))
+        own.select("raw_json").write.option("compression", "gzip").text(f"{path}/{day:%Y/%m/%d}")
+    scanned = bronze.read_day(spark, path, DRIFT_DAY, "*.gz")
+    folder = F.regexp_extract("source_file", r"(\d{4}/\d{2}/\d{2})/[^/]+\.gz$", 1)
+    return scanned.select("raw_json", folder.alias("folder"))
+
+
 @query
 def envelope_parse(spark, sf_dir):
     parsed = events.parse_lines(views.raw_lines(spark, sf_dir))
@@ -596,27 +608,65 @@ for _name in (
 
 
 @query
-def drift_job(spark, sf_dir):
-    """Two runs: the day before the drift day fills the registry, the drift day is judged."""
+def gold_csv_top_repos(spark, sf_dir):
+    """A mart written as CSV with a header, read back by its declared columns."""
     lake = _lake(spark, sf_dir)[0]
-    # A registry of its own, so that the query gives the same rows every time.
-    target = scratch_path(spark, "drift")
-    source = jobs.silver_root(lake)
+    mart = spark.read.parquet(f"{jobs.gold_root(lake)}/top_repos")
+    path = scratch_path(spark, "gold-csv")
+    gold.write_mart(mart, path, "csv")
+    return spark.read.option("header", True).option("enforceSchema", False).schema(mart.schema).csv(path)
+
+
+def _two_drift_runs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The day before the drift day fills the registry, the drift day is judged.
+
+    Where the metadata is, and the verdicts. The registry is its own, so that a query gives
+    the same rows every time.
+    """
+    target, source = scratch_path(spark, "drift"), jobs.silver_root(_lake(spark, sf_dir)[0])
     jobs.run_drift(spark, target, DRIFT_DAY - dt.timedelta(days=1), silver_source=source)
     verdicts = jobs.run_drift(spark, target, DRIFT_DAY, silver_source=source)
+    return jobs.metadata_root(target), verdicts
+
+
+@query
+def drift_job(spark, sf_dir):
+    _, verdicts = _two_drift_runs(spark, sf_dir)
     return rounded(
         verdicts.withColumn("drift_reasons", F.array_join("drift_reasons", "; "))
     )
 
 
+_DAILY = ["dt", "drift_detected", "total_new_variants", "max_failure_rate"]
+
+
+@query
+def drift_job_results(spark, sf_dir):
+    """The stored document of the drift day."""
+    root, _ = _two_drift_runs(spark, sf_dir)
+    stored = spark.read.json(f"{root}/drift_results").withColumnRenamed("target_date", "dt")
+    return rounded(
+        stored.where(F.col("dt") == F.lit(DRIFT_DAY)).select(
+            *_DAILY,
+            F.array_join("affected_tracks", ",").alias("affected_tracks"),
+            F.size("track_results").cast("long").alias("tracks"),
+        )
+    )
+
+
+@query
+def drift_job_history(spark, sf_dir):
+    """The history that the two runs have left: its entry of the drift day."""
+    root, _ = _two_drift_runs(spark, sf_dir)
+    entry = metadata.read_history(spark, root).where(F.col("dt") == F.lit(DRIFT_DAY))
+    tracks = F.array_join("affected_tracks", ",").alias("affected_tracks")
+    return rounded(entry.select(*_DAILY, tracks, F.col("recorded_at").isNotNull().alias("recorded")))
+
+
 @query
 def drift_job_registry(spark, sf_dir):
-    lake = _lake(spark, sf_dir)[0]
-    target = scratch_path(spark, "drift")
-    source = jobs.silver_root(lake)
-    for day in (DRIFT_DAY - dt.timedelta(days=1), DRIFT_DAY):
-        jobs.run_drift(spark, target, day, silver_source=source)
-    registry, version = metadata.read_registry(spark, jobs.metadata_root(target))
+    root, _ = _two_drift_runs(spark, sf_dir)
+    registry, version = metadata.read_registry(spark, root)
     return registry.select(
         "track", "payload_variant", "first_seen_dt", F.lit(version).cast("long").alias("version")
     )

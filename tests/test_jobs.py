@@ -192,6 +192,12 @@ def test_audit(spark, lake):
         silver.audit_days(spark, lake + "/nowhere", "events_base", D1, D2)
 
 
+def test_profile_of_all_tracks(spark, lake):
+    got = {r.track: (r.rows, r.payload_ok) for r in jobs.silver_profile(spark, lake, Days(D1, D2)).collect()}
+    assert len(got) == 17 and got["events_release"] == (0, 0)
+    assert got["events_push"][0] == table(spark, lake, "events_push").count()
+
+
 def test_gold_marts(spark, lake):
     days = Days(D1, D2)
     names = jobs.run_gold(spark, lake, days)
