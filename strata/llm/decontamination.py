@@ -27,7 +27,11 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 #: Word characters are 0-9, A-Z (lower-cased), a-z and all bytes of characters above ASCII.
 _TABLE = bytes(
-    byte if 48 <= byte <= 57 or 97 <= byte <= 122 or byte > 127 else byte + 32 if 65 <= byte <= 90 else 32
+    byte + 32
+    if 65 <= byte <= 90
+    else byte
+    if 48 <= byte <= 57 or 97 <= byte <= 122 or byte > 127
+    else 32
     for byte in range(256)
 )
 
@@ -46,7 +50,9 @@ class WindowSet:
         self.lengths = sorted({len(window) for window in self.items})
         self.near = {}
         for length in self.lengths:
-            hashes = np.concatenate([self.rolled(_hashes(w), length) for w in self.items if len(w) == length])
+            hashes = np.concatenate(
+                [self.rolled(_hashes(w), length) for w in self.items if len(w) == length]
+            )
             bitmap = np.zeros(1 << _BITS, bool)
             bitmap[hashes >> np.uint64(64 - _BITS)] = True
             self.near[length] = bitmap
@@ -87,7 +93,9 @@ def benchmark_windows(benchmark: DataFrame, size: int = WORDS) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             items, windows = [], []
-            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for item, text in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
+            ):
                 words = words_of(text)
                 for at in range(max(len(words) - size, 0) + 1) if words else ():
                     items.append(item)
@@ -111,7 +119,9 @@ def _window_parts(benchmark: DataFrame, size: int, at_once: int) -> list[_Shared
     parts = 1 if n <= at_once else 2 * n // at_once + 1
     out = []
     for part in range(parts):
-        own = windows if parts == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(parts)) == part)
+        own = windows if parts == 1 else windows.where(
+            F.pmod(F.xxhash64("window"), F.lit(parts)) == part
+        )
         pairs = [(bytes(window), list(items)) for window, items in own.collect()]
         out.append(_Shared(spark.sparkContext.broadcast(pairs)))
     return out
@@ -178,7 +188,12 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 def _found(ids, counts, spans, items, id_name: str) -> pa.RecordBatch:
     merged = [[{"start": start, "end": end} for start, end in _merged(x)] for x in spans]
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(counts, pa.int64()), pa.array(merged, _SPANS), pa.array(items, pa.list_(pa.string()))],
+        [
+            ids,
+            pa.array(counts, pa.int64()),
+            pa.array(merged, _SPANS),
+            pa.array(items, pa.list_(pa.string())),
+        ],
         names=[id_name, "n_words", "spans", "items"],
     )
 
@@ -202,7 +217,9 @@ def _scanner(shared: _Shared):
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         key, counts, spans, items = (batch.column(i) for i in range(4))
-        pairs = [np.array([(x["start"], x["end"]) for x in one], np.int64).reshape(-1, 2) for one in spans.to_pylist()]
+        pairs = [
+            np.array([(x["start"], x["end"]) for x in one], np.int64).reshape(-1, 2) for one in spans.to_pylist()
+        ]
         yield _found(key, counts.to_pylist(), pairs, items.to_pylist(), "_key")
 
 
@@ -222,7 +239,9 @@ def without_contaminated(
         def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             windows = shared[0].windows()
             for texts in batches:
-                yield pd.Series([len(windows.hits(words_of(text))[0]) > 0 for text in texts], dtype=bool)
+                yield pd.Series(
+                    [len(windows.hits(words_of(text))[0]) > 0 for text in texts], dtype=bool
+                )
 
         return docs.where(~hit(docs["text"]))
     found = find_contamination(docs, benchmark, size, at_once)

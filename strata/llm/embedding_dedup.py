@@ -58,7 +58,9 @@ def _units(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).filter(keep), batch.column(1).filter(keep),
-                    pa.array([len(vector) for vector in real], pa.int32()), pa.array([vector.tobytes() for vector in real], pa.binary()),
+                    pa.array([len(vector) for vector in real], pa.int32()), pa.array(
+                        [vector.tobytes() for vector in real], pa.binary()
+                    ),
                 ],
                 names=["_key", "label", "dim", "vector"],
             )
@@ -89,17 +91,22 @@ def spherical_kmeans(sample: np.ndarray, cells: int) -> np.ndarray:
 def _fit(classes: DataFrame, cell_rows: int) -> dict[int, np.ndarray]:
     """Centroids by dimension. The sample is the rows of the smallest hashes."""
     out = {}
-    sizes = classes.groupBy("dim", "label").count().groupBy("dim").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("labels"))
+    sizes = classes.groupBy("dim", "label").count().groupBy("dim").agg(
+        F.sum("count").alias("n"), F.count(F.lit(1)).alias("labels")
+    )
     for dim, n, labels in sizes.orderBy("dim").collect():
         rows = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * dim)))
-        few = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("node"), "node").limit(rows).select("vector")
+        own = classes.where(F.col("dim") == dim)
+        few = own.orderBy(F.xxhash64("node"), "node").limit(rows).select("vector")
         sample = _matrix(few.toArrow().column(0), dim)
         cells = max(1, min(MOST_CELLS, -(-n // (cell_rows * labels)), len(sample) // 8 or 1))
         out[dim] = spherical_kmeans(sample, cells)
     return out
 
 
-def _assigned(classes: DataFrame, centroids: dict[int, np.ndarray], cosine: float, deviations: float) -> DataFrame:
+def _assigned(
+    classes: DataFrame, centroids: dict[int, np.ndarray], cosine: float, deviations: float
+) -> DataFrame:
     """Every class in its cells: (label, dim, cell, home, cells, node, n, vector)."""
     schema = "label string, dim int, cell int, home int, cells array<int>, node long, n long, vector binary"
     shared = classes.sparkSession.sparkContext.broadcast(centroids)
@@ -113,7 +120,7 @@ def _assigned(classes: DataFrame, centroids: dict[int, np.ndarray], cosine: floa
                 middle = shared.value[dim]
                 cosines = _matrix(own.column(4), dim) @ middle.T
                 home = cosines.argmax(1)
-                apart = np.linalg.norm(middle[:, None, :] - middle[None, :, :], axis=2)[home]
+                apart = np.sqrt(np.maximum(2 - 2 * middle @ middle.T, 0))[home]
                 margin = radius * min(1.0, deviations / np.sqrt(dim))
                 border = cosines[np.arange(len(home)), home][:, None] - cosines <= margin * apart
                 border[np.arange(len(home)), home] = True
@@ -121,8 +128,11 @@ def _assigned(classes: DataFrame, centroids: dict[int, np.ndarray], cosine: floa
                 lists = [np.flatnonzero(x).astype(np.int32) for x in border]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        own.column(0).take(pa.array(row)), own.column(1).take(pa.array(row)), pa.array(cell, pa.int32()),
-                        pa.array(home[row], pa.int32()), pa.array([lists[i] for i in row], pa.list_(pa.int32())),
+                        own.column(0).take(pa.array(row)),
+                        own.column(1).take(pa.array(row)),
+                        pa.array(cell, pa.int32()),
+                        pa.array(home[row], pa.int32()),
+                        pa.array([lists[i] for i in row], pa.list_(pa.int32())),
                         *(own.column(i).take(pa.array(row)) for i in (2, 3, 4)),
                     ],
                     names=["label", "dim", "cell", "home", "cells", "node", "n", "vector"],
@@ -150,11 +160,17 @@ def _blocks(assigned: DataFrame, block_rows: int) -> DataFrame:
     dealt = assigned.join(sizes, own).withColumn("block", block)
     last = F.col("homes") + F.col("borders") - 1
     as_left = F.when(
-        is_home, F.transform(F.sequence(F.col("block"), last), lambda j: F.struct(F.col("block").alias("i"), j.alias("j"), F.lit(True).alias("left")))
+        is_home, F.transform(
+            F.sequence(F.col("block"), last),
+            lambda j: F.struct(F.col("block").alias("i"), j.alias("j"), F.lit(True).alias("left")),
+        )
     ).otherwise(F.array().cast("array<struct<i: int, j: int, left: boolean>>"))
     most = F.least("block", F.col("homes") - 1)
     as_right = F.filter(
-        F.transform(F.sequence(F.lit(0), most), lambda i: F.struct(i.alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"))),
+        F.transform(
+            F.sequence(F.lit(0), most),
+            lambda i: F.struct(i.alias("i"), F.col("block").alias("j"), F.lit(False).alias("left")),
+        ),
         lambda x: x["i"] != x["j"],
     )
     return dealt.withColumn("task", F.explode(F.concat(as_left, as_right))).select(
@@ -162,7 +178,9 @@ def _blocks(assigned: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
-def _reached(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _reached(
+    links: np.ndarray, left: np.ndarray, right: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """The smallest node that links reach, for rows and columns of a block product."""
     row, column = np.nonzero(links)
     label_left, label_right = left.copy(), right.copy()
@@ -171,8 +189,12 @@ def _reached(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np
     columns, column_at = np.unique(column[order], return_index=True)
     while len(rows):
         before = label_left.copy(), label_right.copy()
-        label_left[rows] = np.minimum(label_left[rows], np.minimum.reduceat(label_right[column], row_at))
-        label_right[columns] = np.minimum(label_right[columns], np.minimum.reduceat(label_left[row[order]], column_at))
+        label_left[rows] = np.minimum(
+            label_left[rows], np.minimum.reduceat(label_right[column], row_at)
+        )
+        label_right[columns] = np.minimum(
+            label_right[columns], np.minimum.reduceat(label_left[row[order]], column_at)
+        )
         if (before[0] == label_left).all() and (before[1] == label_right).all():
             break
     return label_left, label_right
@@ -191,7 +213,9 @@ def _product(cosine: float):
         if not len(left) or not len(right):
             return schema.empty_table()
         nodes, others = (x.column("node").to_numpy() for x in (left, right))
-        links = _matrix(left.column("vector"), dim) @ _matrix(right.column("vector"), dim).T >= cosine
+        links = _matrix(left.column("vector"), dim) @ _matrix(
+            right.column("vector"), dim
+        ).T >= cosine
         if same:
             links &= nodes[:, None] != others[None, :]
         homes = right.column("home").to_numpy()
@@ -210,7 +234,11 @@ def _product(cosine: float):
 
 
 def embedding_dedup(
-    vectors: DataFrame, cosine: float = COSINE, cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS, deviations: float = DEVIATIONS
+    vectors: DataFrame,
+    cosine: float = COSINE,
+    cell_rows: int = CELL_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    deviations: float = DEVIATIONS,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of (vec_id, embedding, label).
 
@@ -224,20 +252,28 @@ def embedding_dedup(
     own = keyed(vectors, "vec_id", "label", "embedding")
     units = materialize(_units(own), "units")
     classes = materialize(
-        units.groupBy("label", "vector").agg(F.min("_key").alias("node"), F.count(F.lit(1)).alias("n"), F.first("dim").alias("dim")),
+        units.groupBy("label", "vector").agg(
+            F.min("_key").alias("node"), F.count(F.lit(1)).alias("n"), F.first("dim").alias("dim")
+        ),
         "vector-classes",
     )
-    assigned = materialize(_assigned(classes, _fit(classes, cell_rows), cosine, deviations), "cells")
+    assigned = materialize(
+        _assigned(classes, _fit(classes, cell_rows), cosine, deviations), "cells"
+    )
     schema = "node long, links long, reached long"
     found = materialize(
-        _blocks(assigned, block_rows).groupBy("label", "dim", "cell", "i", "j").applyInArrow(_product(cosine), schema), "block-links"
+        _blocks(assigned, block_rows).groupBy("label", "dim", "cell", "i", "j").applyInArrow(
+            _product(cosine), schema
+        ), "block-links"
     )
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     links = found.select(F.col("node").alias("a"), F.col("reached").alias("b"))
     grouped = with_components(classes.join(counts, "node", "left"), "node", links).select(
         "label", "vector", "component", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
     )
-    joined = units.select("_key", "label", "vector").join(grouped, ["label", "vector"]).select("_key", "n_links", "component")
+    joined = units.select("_key", "label", "vector").join(grouped, ["label", "vector"]).select(
+        "_key", "n_links", "component"
+    )
     ids = own.select("_key", "vec_id")
     firsts = ids.select(F.col("_key").alias("component"), F.col("vec_id").alias("component_id"))
     return (

@@ -57,14 +57,22 @@ def _rake(cells: DataFrame, rounds: int) -> DataFrame:
         return Window.partitionBy(name)
 
     marked = cells.withColumns(
-        {f"to_{d}": F.pow(F.sum("tokens").over(over(d)).cast("double"), F.lit(FLATTENING[d])) for d in DIMENSIONS}
+        {
+            f"to_{d}": F.pow(
+                F.sum("tokens").over(over(d)).cast("double"), F.lit(FLATTENING[d])
+            ) for d in DIMENSIONS
+        }
     )
     if any(f"share_{d}" in cells.columns for d in DIMENSIONS):
-        marked = marked.withColumns({f"to_{d}": F.col(f"share_{d}") for d in DIMENSIONS if f"share_{d}" in cells.columns})
+        marked = marked.withColumns(
+            {f"to_{d}": F.col(f"share_{d}") for d in DIMENSIONS if f"share_{d}" in cells.columns}
+        )
     weighted = marked.withColumn("w", F.col("tokens").cast("double"))
     for d in DIMENSIONS * rounds:
         total = F.sum("w").over(over(d))
-        weighted = weighted.withColumn("w", F.when(total > 0, F.col("w") * F.col(f"to_{d}") / total).otherwise(0.0))
+        weighted = weighted.withColumn(
+            "w", F.when(total > 0, F.col("w") * F.col(f"to_{d}") / total).otherwise(0.0)
+        )
     return weighted.withColumn("ratio", F.col("w") / F.col("tokens"))
 
 
@@ -72,7 +80,11 @@ def facts(docs: DataFrame, topic: Column | None = None) -> DataFrame:
     """(doc_id, source, lang, topic, tokens); ``topic`` defaults to the text's form."""
     text = docs["text"]
     return docs.select(
-        docs["doc_id"], docs["source"], docs["lang"], (form(text) if topic is None else topic).alias("topic"), tokens(text).alias("tokens")
+        docs["doc_id"],
+        docs["source"],
+        docs["lang"],
+        (form(text) if topic is None else topic).alias("topic"),
+        tokens(text).alias("tokens"),
     )
 
 
@@ -96,10 +108,14 @@ def probabilities(
 
 
 def _same_cell(left: list[Column], cells: DataFrame) -> Column:
-    return reduce(Column.__and__, (a.eqNullSafe(cells[d]) for a, d in zip(left, DIMENSIONS, strict=True)))
+    return reduce(
+        Column.__and__, (a.eqNullSafe(cells[d]) for a, d in zip(left, DIMENSIONS, strict=True))
+    )
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS) -> DataFrame:
+def mix(
+    docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS
+) -> DataFrame:
     """(doc_id, source, lang, topic, tokens, probability, kept) of every document.
 
     A document stays if its draw is below its cell's probability: the id decides, so rows that
@@ -118,9 +134,13 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rou
     )
 
 
-def sampled(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS) -> DataFrame:
+def sampled(
+    docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS
+) -> DataFrame:
     """The documents that ``mix`` keeps, with all their columns; no text is shuffled but where
     the table of cells is too large to be sent to every task."""
     cells = probabilities(facts(docs), targets, rounds)
     own = [docs["source"], docs["lang"], form(docs["text"])]
-    return docs.join(cells, _same_cell(own, cells) & (draw(docs["doc_id"]) < cells["probability"]), "left_semi")
+    return docs.join(
+        cells, _same_cell(own, cells) & (draw(docs["doc_id"]) < cells["probability"]), "left_semi"
+    )

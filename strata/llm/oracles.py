@@ -91,4 +91,8 @@ FROM facts f JOIN shares s ON f.source IS NOT DISTINCT FROM s.source
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op4_mixing": _mixing(), "op7_decontamination": DECONTAMINATION}
+    return {
+        "op1_line_dedup": LINE_DEDUP,
+        "op4_mixing": _mixing(),
+        "op7_decontamination": DECONTAMINATION,
+    }

@@ -92,7 +92,9 @@ def _terms(features: np.ndarray, middle: np.ndarray, spread: np.ndarray) -> np.n
 
 def _loss(weights, terms, labels, counts) -> float:
     margin = np.where(labels == 1, 1, -1) * (terms @ weights)
-    return float((counts * np.logaddexp(0, -margin)).sum() + _PENALTY * (weights[1:] ** 2).sum() / 2)
+    return float(
+        (counts * np.logaddexp(0, -margin)).sum() + _PENALTY * (weights[1:] ** 2).sum() / 2
+    )
 
 
 def _curve(terms: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -104,7 +106,9 @@ def _curve(terms: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> np.ndar
         p = 1 / (1 + np.exp(-np.clip(terms @ weights, -35, 35)))
         slope = terms.T @ (counts * (p - labels)) + penalty * weights
         bend = (terms * (counts * p * (1 - p))[:, None]).T @ terms + np.diag(penalty + 1e-9)
-        step, before, size = np.linalg.solve(bend, slope), _loss(weights, terms, labels, counts), 1.0
+        step, before, size = np.linalg.solve(bend, slope), _loss(
+            weights, terms, labels, counts
+        ), 1.0
         while size > 1e-4 and _loss(weights - size * step, terms, labels, counts) > before:
             size /= 2
         weights = weights - size * step
@@ -129,16 +133,31 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
         .where(F.col("quality") == F.col("most"))
-        .select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality"))
+        .select(
+            F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")
+        )
     )
-    totals = {row["quality"]: row["n"] for row in agreed.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    totals = {
+        row["quality"]: row["n"] for row in agreed.groupBy("quality").agg(
+            F.count(F.lit(1)).alias("n")
+        ).collect()
+    }
     n_good, n_bad = totals.get(1, 0), totals.get(0, 0)
-    none = Model(b"", b"", np.zeros(0), np.zeros(0), np.zeros(0), n_good / (n_good + n_bad) if totals else 0.5)
+    none = Model(
+        b"",
+        b"",
+        np.zeros(0),
+        np.zeros(0),
+        np.zeros(0),
+        n_good / (n_good + n_bad) if totals else 0.5,
+    )
     if not n_good or not n_bad:
         return none
     order = [F.xxhash64("_id"), F.col("_id")]
     wanted = DICTIONARY_TEXTS + CURVE_TEXTS
-    chosen = [agreed.where(F.col("quality") == kind).orderBy(*order).limit(wanted) for kind in (0, 1)]
+    chosen = [
+        agreed.where(F.col("quality") == kind).orderBy(*order).limit(wanted) for kind in (0, 1)
+    ]
     ids = materialize(chosen[0].union(chosen[1]), "sample-ids")
     # Bounded by the sample: a few thousand rows.
     texts = materialize(
@@ -152,7 +171,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         first = texts.where(F.col("quality") == kind).orderBy(*order, "text").limit(DICTIONARY_TEXTS)
         rows = first.collect()
         if len(rows) > 1:  # leave half of a small class for the curve
-            rows = rows[: max(1, min(len(rows), texts.where(F.col("quality") == kind).count() // 2))]
+            rows = rows[
+                : max(1, min(len(rows), texts.where(F.col("quality") == kind).count() // 2))
+            ]
         if not rows:
             return none
         dictionaries[kind] = _dictionary([row["text"] for row in rows])
@@ -164,9 +185,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         sizer = Sizer(good, bad)
         for batch in batches:
             rows = [sizer.features(text) for text in batch["text"]]
-            yield pd.DataFrame(rows, columns=list("abcd")).assign(quality=batch["quality"].to_numpy())
+            yield pd.DataFrame(rows, columns=list("abcd")).assign(
+                quality=batch["quality"].to_numpy()
+            )
 
-    found = rest.select("text", "quality").mapInPandas(measure, "a double, b double, c double, d double, quality int").toPandas()
+    found = rest.select("text", "quality").mapInPandas(
+        measure, "a double, b double, c double, d double, quality int"
+    ).toPandas()
     found = found.sort_values(list("abcd")).reset_index(drop=True)
     labels_found = found["quality"].to_numpy()
     if len(set(labels_found.tolist())) < 2:

@@ -26,7 +26,9 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     def scored(shard: int, weight: float) -> Column:
         draw = F.xxhash64(key, F.lit(shard))
         unit = (F.shiftrightunsigned(draw, 11) + F.lit(0.5)) / F.lit(float(2**53))
-        return F.struct((F.lit(-float(weight)) / F.ln(unit)).alias("score"), F.lit(shard).alias("shard"))
+        return F.struct(
+            (F.lit(-float(weight)) / F.ln(unit)).alias("score"), F.lit(shard).alias("shard")
+        )
 
     scores = [scored(shard, weight) for shard, weight in enumerate(weights) if weight > 0]
     if not scores:

@@ -107,7 +107,11 @@ def _runs(docs: DataFrame) -> DataFrame:
                 data = (text.as_py() or "").encode()
                 gram, start, windows, again = runs_of(data)
                 ends = (start + windows + LENGTH - 1).tolist()
-                digests += [xxhash.xxh64_intdigest(data[a:b]) for a, b in zip(start.tolist(), ends, strict=True)]
+                digests += [
+                    xxhash.xxh64_intdigest(data[a:b]) for a, b in zip(
+                        start.tolist(), ends, strict=True
+                    )
+                ]
                 grams.append(gram)
                 keys.append(np.full(len(gram), key, np.int64))
                 ats.append(_packed(start, windows, again.astype(np.int64)))
@@ -117,12 +121,21 @@ def _runs(docs: DataFrame) -> DataFrame:
             if digests:
                 yield _run_rows(grams, digests, keys, ats)
 
-    return docs.select("_key", "text").mapInArrow(scan, "gram long, digest long, _key long, at long")
+    return docs.select("_key", "text").mapInArrow(
+        scan, "gram long, digest long, _key long, at long"
+    )
 
 
 def _run_rows(grams, digests, keys, ats) -> pa.RecordBatch:
-    columns = [np.concatenate(grams).view(np.int64), np.array(digests, np.uint64).view(np.int64), np.concatenate(keys), np.concatenate(ats)]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["gram", "digest", "_key", "at"])
+    columns = [
+        np.concatenate(grams).view(np.int64),
+        np.array(digests, np.uint64).view(np.int64),
+        np.concatenate(keys),
+        np.concatenate(ats),
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in columns], names=["gram", "digest", "_key", "at"]
+    )
 
 
 def _start(at="at"):
@@ -137,7 +150,9 @@ def _again(at="at"):
     return F.col(at).bitwiseAND(F.lit(1))
 
 
-def repeated_windows(key: np.ndarray, start: np.ndarray, windows: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_windows(
+    key: np.ndarray, start: np.ndarray, windows: np.ndarray, texts: list[bytes]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, start, end) of the bytes whose windows have an earlier match among these runs.
 
     The windows are put in suffix order, ties by position; one that shares ``LENGTH`` bytes
@@ -171,15 +186,25 @@ def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text, runs in zip(batch.column(2).to_pylist(), batch.column(1), batch.column(3), strict=True):
+            for key, text, runs in zip(
+                batch.column(2).to_pylist(), batch.column(1), batch.column(3), strict=True
+            ):
                 data, rows = (text.as_py() or "").encode(), runs.as_py()
                 for at in range(0, len(rows), 20_000):
                     few = rows[at : at + 20_000]
-                    spans = [(x["at"] >> 10, (x["at"] >> 10) + (x["at"] >> 1 & 511) + LENGTH - 1) for x in few]
+                    spans = [
+                        (
+                            x["at"] >> 10, (x["at"] >> 10) + (x["at"] >> 1 & 511) + LENGTH - 1
+                        ) for x in few
+                    ]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([x["gram"] for x in few], pa.int64()), pa.array([key] * len(few), pa.int64()),
-                            pa.array([x["at"] for x in few], pa.int64()), pa.array([data[a:b] for a, b in spans], pa.binary()),
+                            pa.array([x["gram"] for x in few], pa.int64()), pa.array(
+                                [key] * len(few), pa.int64()
+                            ),
+                            pa.array([x["at"] for x in few], pa.int64()), pa.array(
+                                [data[a:b] for a, b in spans], pa.binary()
+                            ),
                         ],
                         names=["gram", "_key", "at", "bytes"],
                     )
@@ -197,8 +222,12 @@ def _sorted_by_gram(runs: DataFrame) -> DataFrame:
     """Repeats (_key, start, end) within each gram's runs; many grams go into one sort."""
 
     def spans(gram, key, at, texts):
-        found = repeated_windows(np.concatenate(key), np.concatenate(at) >> 10, np.concatenate(at) >> 1 & 511, texts)
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["_key", "start", "end"])
+        found = repeated_windows(
+            np.concatenate(key), np.concatenate(at) >> 10, np.concatenate(at) >> 1 & 511, texts
+        )
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int64()) for x in found], names=["_key", "start", "end"]
+        )
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = [[], [], [], []]
@@ -212,7 +241,11 @@ def _sorted_by_gram(runs: DataFrame) -> DataFrame:
             begins = [0, *cuts.tolist()] if gram[0] != last else cuts.tolist()
             many = np.cumsum(at >> 1 & 511)
             for begin in begins:
-                held_now = size + (int(many[begin - 1]) - (int(many[done - 1]) if done else 0) if begin > done else 0)
+                held_now = size + (
+                    int(many[begin - 1]) - (
+                        int(many[done - 1]) if done else 0
+                    ) if begin > done else 0
+                )
                 if held_now >= SORTED_TOGETHER:
                     for own, column in zip(held, (gram, key, at), strict=False):
                         own.append(column[done:begin])
@@ -240,7 +273,11 @@ def _dealt_by_window(runs: DataFrame) -> DataFrame:
     )
     windows = materialize(windows, "windows")
     first = materialize(
-        windows.groupBy("window").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n"), "first-windows"
+        windows.groupBy("window")
+        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > 1)
+        .drop("n"),
+        "first-windows",
     )
     later = windows.join(first, "window").where(F.col("place") != F.col("first"))
     return later.select("place._key", "place.start", (F.col("place.start") + LENGTH).alias("end"))
@@ -250,7 +287,9 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without their spans; spans are merged where they touch."""
     for batch in batches:
         ids, sizes, all_spans, kept = [], [], [], []
-        for doc_id, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(3), strict=True):
+        for doc_id, text, spans in zip(
+            batch.column(0).to_pylist(), batch.column(1), batch.column(3), strict=True
+        ):
             data = (text.as_py() or "").encode()
             merged: list[list[int]] = []
             for start, end in sorted((x["start"], x["end"]) for x in spans.as_py() or ()):
@@ -265,7 +304,12 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(b"".join(data[a:b] for a, b in zip(bounds[::2], bounds[1::2], strict=True)))
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(all_spans, span), pa.array(kept, pa.binary())],
+            [
+                pa.array(ids, pa.int64()),
+                pa.array(sizes, pa.int64()),
+                pa.array(all_spans, span),
+                pa.array(kept, pa.binary()),
+            ],
             names=["doc_id", "n_bytes", "spans", "kept"],
         )
 
@@ -281,21 +325,37 @@ def suffix_dedup(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     own, ordered by (id, text), null first. Other columns are not read; empty in, empty out.
     """
     ship_package(docs.sparkSession)
-    own = keyed(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text", "_key").where(F.col("_key").isNotNull())
-    counted = _runs(own).groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max(_again()).alias("again"))
-    shared = materialize(counted.where((F.col("n") > 1) | (F.col("again") == 1)).select("gram"), "shared-grams")
+    own = keyed(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text", "_key").where(
+        F.col("_key").isNotNull()
+    )
+    counted = _runs(own).groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n"), F.max(_again()).alias("again")
+    )
+    shared = materialize(
+        counted.where((F.col("n") > 1) | (F.col("again") == 1)).select("gram"), "shared-grams"
+    )
     runs = materialize(_runs(own).join(shared, "gram", "left_semi"), "runs")
 
     place = F.struct("_key", "at")
     firsts = materialize(
-        runs.groupBy("gram", "digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "first-runs"
+        runs.groupBy("gram", "digest").agg(
+            F.min(place).alias("first"), F.count(F.lit(1)).alias("n")
+        ), "first-runs"
+    )
+    later = runs.join(firsts.where(F.col("n") > 1).select("gram", "digest", "first"), ["gram", "digest"]).where(
+        place != F.col("first")
+    )
+    as_wholes = later.select(
+        "_key", _start().alias("start"), (_start() + _windows() + LENGTH - 1).alias("end")
     )
-    later = runs.join(firsts.where(F.col("n") > 1).select("gram", "digest", "first"), ["gram", "digest"]).where(place != F.col("first"))
-    as_wholes = later.select("_key", _start().alias("start"), (_start() + _windows() + LENGTH - 1).alias("end"))
 
     mixed = materialize(
         firsts.groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("runs"), F.max(_again("first.at")).alias("again"), F.sum(_windows("first.at")).alias("windows"))
+        .agg(
+            F.count(F.lit(1)).alias("runs"),
+            F.max(_again("first.at")).alias("again"),
+            F.sum(_windows("first.at")).alias("windows"),
+        )
         .where((F.col("runs") > 1) | (F.col("again") == 1))
         .select("gram", (F.col("windows") > crowd).alias("crowded")),
         "mixed-grams",
@@ -304,7 +364,12 @@ def suffix_dedup(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     plain = _sorted_by_gram(_cut(own, wanted.where(~F.col("crowded")).select("gram", "_key", "at")))
     spans = as_wholes.union(plain)
     if not mixed.where("crowded").isEmpty():
-        spans = spans.union(_dealt_by_window(_cut(own, wanted.where("crowded").select("gram", "_key", "at"))))
+        spans = spans.union(
+            _dealt_by_window(_cut(own, wanted.where("crowded").select("gram", "_key", "at")))
+        )
     lists = spans.groupBy("_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = own.join(lists, "_key", "left").select(*own.columns, "spans")
-    return joined.mapInArrow(_apply, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    return joined.mapInArrow(
+        _apply,
+        "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary",
+    )

@@ -42,9 +42,32 @@ def documents(spark, texts=TEXTS):
 
 def awkward(spark):
     """Repeated rows, null ids, one id for two texts, and columns that operators name inside."""
-    more = [*TEXTS, TEXTS[6], (None, "no id here"), (None, None), (11, "another text under id eleven"), (12, "one two")]
+    more = [
+        *TEXTS,
+        TEXTS[6],
+        (None, "no id here"),
+        (None, None),
+        (11, "another text under id eleven"),
+        (12, "one two"),
+    ]
     frame = documents(spark, more)
-    for name in ("_key", "h", "pos", "fp", "node", "component", "gram", "n_lines", "tokens", "topic", "score", "size", "_id", "quality", "probability"):
+    for name in (
+        "_key",
+        "h",
+        "pos",
+        "fp",
+        "node",
+        "component",
+        "gram",
+        "n_lines",
+        "tokens",
+        "topic",
+        "score",
+        "size",
+        "_id",
+        "quality",
+        "probability",
+    ):
         frame = frame.selectExpr("*", f"1 AS `{name}`")
     return frame
 

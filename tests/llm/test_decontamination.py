@@ -10,7 +10,10 @@ from strata.llm import decontamination as d
 
 ITEMS = [
     (1, PASSAGE),
-    (2, "PASSAGE3 word passage4 word passage5 word passage6 word passage7 word passage8 word, and more words after"),
+    (
+        2,
+        "PASSAGE3 word passage4 word passage5 word passage6 word passage7 word passage8 word, and more words after",
+    ),
     (3, "ONE, two!"),
     (4, "w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15"),
     (5, None),
@@ -50,7 +53,14 @@ def plain(texts, items):
 
 
 def digest(found):
-    return [(r["doc_id"], r["n_words"], sum(x["end"] - x["start"] for x in r["spans"]), tuple(r["items"])) for r in found.collect()]
+    return [
+        (
+            r["doc_id"],
+            r["n_words"],
+            sum(x["end"] - x["start"] for x in r["spans"]),
+            tuple(r["items"]),
+        ) for r in found.collect()
+    ]
 
 
 @pytest.mark.parametrize("at_once", [500_000, 7])
@@ -67,7 +77,9 @@ def test_awkward_rows(spark, at_once):
     kept = d.without_contaminated(frame, benchmark(spark), at_once=at_once)
     assert kept.columns == frame.columns
     hit_ids = {i for i, _, n, _ in plain(texts, ITEMS) if n}
-    clean = Counter(i for i, _, n, _ in plain(texts, ITEMS) if not n and (at_once > 7 or i not in hit_ids))
+    clean = Counter(
+        i for i, _, n, _ in plain(texts, ITEMS) if not n and (at_once > 7 or i not in hit_ids)
+    )
     assert Counter(r["doc_id"] for r in kept.collect()) == clean
 
 
@@ -79,5 +91,7 @@ def test_empty_tables(spark):
 
 
 def test_spans_are_word_runs(spark):
-    row = next(r for r in d.find_contamination(documents(spark), benchmark(spark, ITEMS[:1])).collect() if r["doc_id"] == 8)
+    row = next(
+        r for r in d.find_contamination(documents(spark), benchmark(spark, ITEMS[:1])).collect() if r["doc_id"] == 8
+    )
     assert [(x["start"], x["end"]) for x in row["spans"]] == [(2, 82)]

@@ -21,7 +21,9 @@ def plain_line_dedup(texts, min_chars=20, min_docs=3):
     out = []
     for place, (doc_id, text) in enumerate(texts):
         lines = (text or "").split("\n")
-        kept = [x for x in lines if len(holders[key(x)]) < min_docs or max(holders[key(x)]) == place]
+        kept = [
+            x for x in lines if len(holders[key(x)]) < min_docs or max(holders[key(x)]) == place
+        ]
         out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
 
@@ -45,7 +47,9 @@ def test_line_dedup_on_awkward_rows(spark):
 
 def plain_shard(doc_id, n):
     def score(shard):
-        draw = xxhash.xxh64_intdigest(shard.to_bytes(4, "little"), xxhash.xxh64_intdigest(doc_id.to_bytes(8, "little"), 42))
+        draw = xxhash.xxh64_intdigest(
+            shard.to_bytes(4, "little"), xxhash.xxh64_intdigest(doc_id.to_bytes(8, "little"), 42)
+        )
         return -1 / math.log(((draw >> 11) + 0.5) / 2**53)
 
     return max(range(n), key=score)
@@ -76,7 +80,9 @@ def test_a_new_shard_only_takes(spark):
 
 def test_weights(spark):
     ids = spark.range(6000).selectExpr("id AS doc_id", "'x' AS text")
-    got = Counter(row["shard"] for row in sharding.assign_shards(ids, [1.0, 2.0, 0.0, 3.0]).collect())
+    got = Counter(
+        row["shard"] for row in sharding.assign_shards(ids, [1.0, 2.0, 0.0, 3.0]).collect()
+    )
     assert got[2] == 0
     assert all(abs(got[s] - 1000 * w) < 200 for s, w in ((0, 1), (1, 2), (3, 3)))
     with pytest.raises(ValueError):

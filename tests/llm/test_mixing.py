@@ -15,7 +15,9 @@ def mixed(spark):
     rows = []
     for i in range(3000):
         source = random.choice(["big"] * 6 + ["small", "tiny", None])
-        text = "\n".join(" ".join(["w"] * random.randint(1, 60)) for _ in range(random.choice([1, 3, 25])))
+        text = "\n".join(
+            " ".join(["w"] * random.randint(1, 60)) for _ in range(random.choice([1, 3, 25]))
+        )
         rows.append((i, text, random.choice(["en", "en", "en", "de"]), source, None))
     return spark.createDataFrame(rows, SCHEMA)
 
@@ -44,7 +46,9 @@ def test_flattened_shares_by_default(spark, mixed):
         for row in cells:
             own[row[dimension]] += row["tokens"]
         flat = {value: n**power for value, n in own.items()}
-        assert marginal(cells, dimension) == pytest.approx({v: x / sum(flat.values()) for v, x in flat.items()}, abs=1e-6)
+        assert marginal(cells, dimension) == pytest.approx(
+            {v: x / sum(flat.values()) for v, x in flat.items()}, abs=1e-6
+        )
 
 
 def test_sample_follows_the_probabilities(spark, mixed):
@@ -54,7 +58,9 @@ def test_sample_follows_the_probabilities(spark, mixed):
     assert abs(sum(row["kept"] for row in got) - expected) < 4 * 3000**0.5
     kept = mixing.sampled(mixed)
     assert kept.columns == mixed.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in got if r["kept"])
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(
+        r["doc_id"] for r in got if r["kept"]
+    )
 
 
 def test_values_without_share_get_none(spark, mixed):
@@ -68,5 +74,7 @@ def test_awkward_rows(spark):
     assert Counter(r["doc_id"] for r in got) == Counter(r["doc_id"] for r in frame.collect())
     kept = mixing.sampled(frame)
     assert kept.columns == frame.columns
-    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in got if r["kept"])
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(
+        r["doc_id"] for r in got if r["kept"]
+    )
     assert mixing.mix(empty(spark)).collect() == [] and mixing.sampled(empty(spark)).collect() == []

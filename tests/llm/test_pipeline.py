@@ -49,9 +49,13 @@ def test_stages(spark):
         before, after = (x.select("doc_id") for x in (docs, out))
         assert after.subtract(before).isEmpty() and after.distinct().count() == out.count()
         last = name == pipeline.STAGES[-1][0]
-        assert out.count() == docs.count() if last else (0 < out.count() <= docs.count() and out.columns == columns)
+        assert out.count() == docs.count() if last else (
+            0 < out.count() <= docs.count() and out.columns == columns
+        )
         docs = out
-    assert sorted(map(tuple, pipeline.run(spark, SF).collect())) == sorted(map(tuple, docs.collect()))
+    assert sorted(map(tuple, pipeline.run(spark, SF).collect())) == sorted(
+        map(tuple, docs.collect())
+    )
 
 
 def test_stages_take_awkward_and_empty_tables(spark):

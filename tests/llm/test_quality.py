@@ -17,7 +17,9 @@ def labelled(spark):
     syllables = "ka to mi re su lo ne va di po ri se".split()
 
     def prose(n):
-        return " ".join("".join(random.choices(syllables, k=random.randint(1, 4))) for _ in range(n)).capitalize() + "."
+        return " ".join(
+            "".join(random.choices(syllables, k=random.randint(1, 4))) for _ in range(n)
+        ).capitalize() + "."
 
     def junk(n):
         kind = random.randrange(4)
@@ -37,15 +39,21 @@ def labelled(spark):
         if i % 5:
             labels.append((i, good, 0))
     labels += [(2000, 1, 0), (None, 0, 0), (7, None, 0), (0, 1, 0), (0, 0, 0)]
-    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(
+        labels, "doc_id long, quality int, toxic int"
+    )
 
 
 def test_held_out_accuracy(labelled):
     docs, labels = labelled
     model = quality.fit(docs, labels.where(~held_out()))
     scored = docs.withColumn("score", quality.scored(model, docs["text"]))
-    judged = scored.join(labels.where(held_out() & F.col("quality").isNotNull()), "doc_id").collect()
-    right = [(row["score"] >= quality.ACCEPTED) == bool(row["quality"]) for row in judged if row["doc_id"]]
+    judged = scored.join(
+        labels.where(held_out() & F.col("quality").isNotNull()), "doc_id"
+    ).collect()
+    right = [
+        (row["score"] >= quality.ACCEPTED) == bool(row["quality"]) for row in judged if row["doc_id"]
+    ]
     assert len(right) > 150 and sum(right) / len(right) > 0.97
     assert all(0 <= row["score"] <= 1 for row in judged)
     again = quality.fit(docs, labels.where(~held_out()))
@@ -58,7 +66,9 @@ def test_awkward_rows_get_a_score(spark, labelled):
     scores = frame.select(quality.scored(model, frame["text"]).alias("s")).collect()
     assert len(scores) == frame.count() and all(0 <= row["s"] <= 1 for row in scores)
     kept = quality.accepted(frame, model)
-    assert kept.columns == frame.columns and kept.count() == sum(row["s"] >= quality.ACCEPTED for row in scores)
+    assert kept.columns == frame.columns and kept.count() == sum(
+        row["s"] >= quality.ACCEPTED for row in scores
+    )
     assert quality.accepted(empty(spark), model).collect() == []
     quality.fit(frame, labelled[1].withColumn("text", F.lit("clash")))
 
@@ -66,7 +76,9 @@ def test_awkward_rows_get_a_score(spark, labelled):
 @pytest.mark.parametrize(("kinds", "share"), [((), 0.5), ((1,), 1.0), ((0,), 0.0)])
 def test_without_both_classes_the_score_is_the_share(spark, labelled, kinds, share):
     docs, labels = labelled
-    model = quality.fit(docs, labels.where(F.col("quality").isin(*kinds) if kinds else F.lit(False)))
+    model = quality.fit(
+        docs, labels.where(F.col("quality").isin(*kinds) if kinds else F.lit(False))
+    )
     rows = docs.limit(3).select(quality.scored(model, docs["text"]).alias("s")).collect()
     assert [row["s"] for row in rows] == [share] * 3
 
@@ -74,4 +86,6 @@ def test_without_both_classes_the_score_is_the_share(spark, labelled, kinds, sha
 def test_few_labels_give_a_model(spark, labelled):
     docs, labels = labelled
     model = quality.fit(docs, labels.where(F.col("doc_id").between(1, 30)))
-    assert len(model.weights) and all(0 <= r[0] <= 1 for r in docs.limit(20).select(quality.scored(model, docs["text"])).collect())
+    assert len(model.weights) and all(
+        0 <= r[0] <= 1 for r in docs.limit(20).select(quality.scored(model, docs["text"])).collect()
+    )

@@ -47,7 +47,9 @@ def test_every_prefix_has_the_library_s_count(text):
 
 
 def test_counts_of_whole_texts(spark, pieces):
-    got = {r["doc_id"]: r for r in token_counts.prefix_counts(documents(spark), PIECES, 50).collect()}
+    got = {
+        r["doc_id"]: r for r in token_counts.prefix_counts(documents(spark), PIECES, 50).collect()
+    }
     for doc_id, text in TEXTS:
         row, text = got[doc_id], text or ""
         assert (row["n_bytes"], row["n_tokens"]) == (len(text.encode()), len(pieces.encode(text)))
@@ -60,7 +62,9 @@ def test_counts_of_whole_texts(spark, pieces):
 def test_counts_of_awkward_rows(spark):
     frame = awkward(spark)
     got = token_counts.prefix_counts(frame, PIECES, 50, keep_tables=False)
-    assert Counter(r["doc_id"] for r in got.collect()) == Counter(r["doc_id"] for r in frame.collect())
+    assert Counter(r["doc_id"] for r in got.collect()) == Counter(
+        r["doc_id"] for r in frame.collect()
+    )
     assert token_counts.prefix_counts(empty(spark), PIECES, 50).collect() == []
 
 
@@ -93,7 +97,9 @@ def test_records_round_trip(spark, word_bpe):
     got = {r["doc_id"]: (r["start"], r["ids"]) for r in records.read_records(index, path).collect()}
     assert got == wanted
     some = records.read_records(index.where(F.col("doc_id") % 2 == 1), path).collect()
-    assert {r["doc_id"]: (r["start"], r["ids"]) for r in some} == {i: x for i, x in wanted.items() if i % 2}
+    assert {r["doc_id"]: (r["start"], r["ids"]) for r in some} == {
+        i: x for i, x in wanted.items() if i % 2
+    }
     for row in records.record_digests(index, path).collect():
         start, ids = wanted[row["doc_id"]]
         assert tuple(row)[1:] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
