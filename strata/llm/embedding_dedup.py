@@ -32,7 +32,7 @@ ROUNDS = 12
 #: How close to a cell's border a vector is entered there too: so many standard deviations of
 #: a displacement of the linking radius in a random direction. At sqrt(dimension) or more the
 #: whole radius is covered and no pair can be missed.
-DEVIATIONS = 4.0
+DEVIATIONS = 3.0
 
 
 def unit(values: list[float | None] | None) -> np.ndarray | None:
