@@ -15,16 +15,16 @@ exist for readers. Readers go by the index: in order, or in any shuffled order b
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import batched, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +35,12 @@ from strata.llm.common import keyed, ship_package
 from strata.session import scratch_path
 
 #: Words that one worker remembers before it starts anew, and the longest of them.
-REMEMBERED = 250_000
-REMEMBERED_PIECES = 500_000
+REMEMBERED = 350_000
 LONGEST = 64
-#: Documents whose new words are encoded together.
-TOGETHER = 400
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Documents, and bytes of text, that are encoded together; a longer document is alone.
+TOGETHER = 2_000
+BYTES_TOGETHER = 4_000_000
+_PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
 _PAYLOAD = struct.Struct("<qB")
@@ -80,24 +80,15 @@ def parse_payload(payload: bytes) -> tuple[int, np.ndarray]:
     return key, np.frombuffer(payload, f"<u{width}", offset=_PAYLOAD.size)
 
 
-def plain_word(word: str) -> tuple[str, str] | None:
-    """Lower-cased letters and punctuation after them, or None for any other word.
-
-    Letters are those of Latin-1, which have one form under NFC and lower-case one by one; an
-    apostrophe may belong to the letters after it, so it is not taken.
-    """
-    found = _PLAIN.fullmatch(word)
-    return (found[1].lower(), found[2]) if found else None
-
-
 class WordEncoder:
     """Ids of texts under a word-level BPE whose pre-tokenizer drops white space.
 
     Nothing in such a vocabulary reaches across a blank or a line end, so a text's ids are its
-    words' ids in a row. Each word goes through the library once and is then remembered. Where
-    the tokenizer lower-cases and parts letters from punctuation, a word of plain letters and
-    trailing punctuation is the ids of its lower-cased letters and those of the punctuation,
-    so that "End" and "end." need nothing new after "end".
+    words' ids in a row. Arrow splits the texts and finds their distinct words; these go
+    through the library once and are then remembered. Where the tokenizer lower-cases and parts
+    letters from punctuation, a word of plain letters and trailing punctuation is the ids of
+    its lower-cased letters and those of the punctuation, so that "End" and "end." need
+    nothing new after "end".
     """
 
     def __init__(self, tokenizer_file: str):
@@ -116,8 +107,7 @@ class WordEncoder:
             raise ValueError("this tokenizer does not drop white space between words")
         tried = self._ids(["Ab", "ab", "Été.,", "été", ".,"])
         self.parts = tried[0] == tried[1] and tried[2] == tried[3] + tried[4]
-        self.known: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         kind = np.dtype(f"<u{self.width}")
@@ -140,56 +130,56 @@ class WordEncoder:
         data, width = ids.tobytes(), self.width
         return [data[a * width : b * width] for a, b in pairwise([0, *bounds])]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of new words, by their parts where that is exact."""
-        cut = [plain_word(word) if self.parts else None for word in words]
-        pieces = {piece for pair in cut if pair for piece in pair}
-        plain = [piece for piece in pieces if piece not in self.pieces]
-        rest = [
-            word for word, pair in zip(
-                words, cut, strict=True
-            ) if not pair and word not in self.pieces
-        ]
-        self.pieces.update(zip(plain, self._single(plain), strict=True))
-        self.pieces.update(zip(rest, self._ids(rest), strict=True))
-        new = plain + rest
-        found = {
-            word: self.pieces[pair[0]] + self.pieces[pair[1]] if pair else self.pieces[word]
-            for word, pair in zip(words, cut, strict=True)
-        }
+    def _learn(self, pieces: list[str], odd: set[str]) -> list[bytes]:
+        """The ids of distinct pieces; ``odd`` are those that may not stay whole."""
+        new = [piece for piece in pieces if piece not in self.known]
+        whole = [piece for piece in new if piece not in odd]
+        rest = [piece for piece in new if piece in odd]
+        self.known.update(zip(whole, self._single(whole), strict=True))
+        self.known.update(zip(rest, self._ids(rest), strict=True))
+        found = [self.known[piece] for piece in pieces]
         for piece in new:
             if len(piece) > LONGEST:
-                del self.pieces[piece]
+                del self.known[piece]
         return found
 
+    def _cut(self, words: pa.Array) -> tuple[pa.Array, pa.Array, set[str]]:
+        """Each word's two pieces (the second may be empty), and the words not taken apart.
+
+        Letters are those of Latin-1, which have one form under NFC and lower-case one by one;
+        an apostrophe may belong to the letters after it, so it is not taken.
+        """
+        if not self.parts:
+            return words, pa.array([""] * len(words), words.type), set(words.to_pylist())
+        found = pc.extract_regex(words, _PLAIN)
+        odd = set(words.filter(pc.is_null(found)).to_pylist())
+        letters = pc.utf8_lower(pc.struct_field(found, "letters"))
+        return pc.coalesce(letters, words), pc.fill_null(pc.struct_field(found, "marks"), ""), odd
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, in ``width`` bytes each."""
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        if len(self.pieces) > REMEMBERED_PIECES:
-            self.pieces = {"": b""}
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        seen = [list(map(self.known.get, words)) for words in split]
-        new: set[str] = set()
-        for words, ids in zip(split, seen, strict=True):
-            if None in ids:
-                new.update([word for word, found in zip(words, ids, strict=True) if found is None])
-        fresh = self._learn(list(new))
-        self.known.update(fresh)
-        out = [
-            b"".join(
-                [
-                    fresh[word] if found is None else found for word, found in zip(
-                        words, ids, strict=True
-                    )
-                ]
-            )
-            for words, ids in zip(split, seen, strict=True)
-        ]
-        for word in new:
-            if len(word) > LONGEST:
-                del self.known[word]
-        return out
+            self.known = {}
+        lines = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
+        split = pc.split_pattern(lines, " ")
+        words = split.flatten().dictionary_encode()
+        first, second, odd = self._cut(words.dictionary)
+        both = pa.concat_arrays([first, second]).dictionary_encode()
+        ids = self._learn(both.dictionary.to_pylist(), odd | {""})
+        flat = np.frombuffer(b"".join(ids), f"<u{self.width}")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        # The pieces of all texts in a row, two for each word, and where each one's ids are.
+        pieces = both.indices.to_numpy().reshape(2, -1)[:, words.indices.to_numpy()].T.ravel()
+        lengths = sizes[pieces]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        where = np.repeat(starts[pieces] - (ends - lengths), lengths)
+        where += np.arange(total)
+        data, width = flat[where].tobytes(), self.width
+        per_text = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        bounds = np.concatenate([[0], ends])[2 * per_text].tolist()
+        return [data[a * width : b * width] for a, b in pairwise(bounds)]
 
 
 @cache
@@ -202,6 +192,19 @@ def _folder(path: str) -> tuple[fs.FileSystem, str]:
     return system, folder
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of bounded rows and bytes of text (its last column)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy()
+    first, held = 0, 0
+    for at, size in enumerate(sizes.tolist()):
+        if at > first and (held + size > BYTES_TOGETHER or at - first >= TOGETHER):
+            yield batch.slice(first, at - first)
+            first, held = at, 0
+        held += size
+    if batch.num_rows:
+        yield batch.slice(first)
+
+
 def write_records(docs: DataFrame, path: str, tokenizer_file: str, end_id: int) -> DataFrame:
     """Encode all texts and write them in ascending order of id; returns the index.
 
@@ -220,8 +223,8 @@ def write_records(docs: DataFrame, path: str, tokenizer_file: str, end_id: int)
         name = f"part-{part:06d}-{uuid.uuid4().hex}.rec"
         sink, offset, before, seq = None, 0, 0, 0
         for batch in batches:
-            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            for few in batched(rows, TOGETHER):
+            for slice_of in _portions(batch):
+                few = list(zip(*slice_of.to_pydict().values(), strict=True))
                 index: list[tuple] = []
                 if sink is None:
                     system.create_dir(folder, recursive=True)
