@@ -35,6 +35,20 @@ def keyed(rows: DataFrame, id_column: str, *columns: str) -> DataFrame:
     return materialize(ordered, "keyed")
 
 
+def keyed_whole(rows: DataFrame, id_column: str, *columns: str) -> DataFrame:
+    """(_key, _row, named columns): the keys of ``keyed``, with whole rows as structs.
+
+    Filters that judge by ``_key`` give back ``_row.*``: each row by its own judgement, also
+    where ids are null or repeated.
+    """
+    slim = rows.select(F.struct(*(rows[name] for name in rows.columns)).alias("_row"), id_column, *columns)
+    odd = slim.groupBy(id_column).count().where(F.col(id_column).isNull() | (F.col("count") > 1))
+    if odd.isEmpty():
+        return slim.select(F.col(id_column).cast("long").alias("_key"), "_row", *columns)
+    ordered = slim.orderBy(id_column, *columns).withColumn("_key", F.monotonically_increasing_id())
+    return materialize(ordered.select("_key", "_row", *columns), "keyed")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all else as it is; pure ASCII takes the faster built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

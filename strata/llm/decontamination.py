@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keyed, ship_package
+from strata.llm.common import keyed, keyed_whole, ship_package
 
 WORDS = 10
 #: Windows that one broadcast set may hold; a larger benchmark is scanned in so many parts.
@@ -229,7 +229,8 @@ def without_contaminated(
     """The rows of ``docs`` whose text has no window of the benchmark; all columns as they are.
 
     Where the windows fit one broadcast, texts are judged where they are read and none moves;
-    with more, findings are joined by id (rows that share an id go together).
+    with more, findings are joined by id (rows that share an id go together). Rows without id
+    are judged each by its own text either way.
     """
     shared = _window_parts(benchmark, size, at_once)
     ship_package(docs.sparkSession)
@@ -244,6 +245,11 @@ def without_contaminated(
                 )
 
         return docs.where(~hit(docs["text"]))
-    found = find_contamination(docs, benchmark, size, at_once)
-    hit = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_hit"))
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit"]), "left_anti")
+    own = keyed_whole(docs, "doc_id", "text")
+    texts = own.select(F.col("_key").alias("doc_id"), "text")
+    found = find_contamination(texts, benchmark, size, at_once).where(F.size("spans") > 0)
+    marked = own.select("_key", F.col("_row.doc_id").alias("doc_id"))
+    hit = marked.join(found.select(F.col("doc_id").alias("_key")), "_key", "left_semi")
+    alike = hit.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    together = marked.join(alike, "doc_id", "left_semi").select("_key")
+    return own.join(hit.select("_key").union(together), "_key", "left_anti").select("_row.*")

@@ -95,3 +95,12 @@ def test_spans_are_word_runs(spark):
         r for r in d.find_contamination(documents(spark), benchmark(spark, ITEMS[:1])).collect() if r["doc_id"] == 8
     )
     assert [(x["start"], x["end"]) for x in row["spans"]] == [(2, 82)]
+
+
+@pytest.mark.parametrize("at_once", [500_000, 7])
+def test_rows_without_id_are_judged_by_themselves(spark, at_once):
+    texts = [(None, PASSAGE), (None, "clean and without id"), (None, None), (1, PASSAGE), (2, "clean")]
+    kept = d.without_contaminated(documents(spark, texts), benchmark(spark), at_once=at_once)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+        [(None, "clean and without id"), (None, None), (2, "clean")]
+    )
