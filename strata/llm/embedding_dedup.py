@@ -29,10 +29,12 @@ CELL_ROWS = 1_000
 MOST_CELLS = 1_024
 BLOCK_ROWS = 1_500
 ROUNDS = 12
-#: How close to a cell's border a vector is entered there too: so many standard deviations of
-#: a displacement of the linking radius in a random direction. At sqrt(dimension) or more the
-#: whole radius is covered and no pair can be missed.
-DEVIATIONS = 3.0
+#: A linked pair lies within half the linking radius of the border between its two cells with
+#: one of its vectors at least, so that margin finds every pair. A finite number narrows it to
+#: so many deviations of a displacement in a random direction, and can lose links.
+DEVIATIONS = float("inf")
+#: Rounding of the cosines that the margin is compared with.
+SLACK = 1e-9
 
 
 def unit(values: list[float | None] | None) -> np.ndarray | None:
@@ -121,8 +123,8 @@ def _assigned(
                 cosines = _matrix(own.column(4), dim) @ middle.T
                 home = cosines.argmax(1)
                 apart = np.sqrt(np.maximum(2 - 2 * middle @ middle.T, 0))[home]
-                margin = radius * min(1.0, deviations / np.sqrt(dim))
-                border = cosines[np.arange(len(home)), home][:, None] - cosines <= margin * apart
+                margin = radius * min(0.5, deviations / np.sqrt(dim))
+                border = cosines[np.arange(len(home)), home][:, None] - cosines <= margin * apart + SLACK
                 border[np.arange(len(home)), home] = True
                 row, cell = np.nonzero(border)
                 lists = [np.flatnonzero(x).astype(np.int32) for x in border]

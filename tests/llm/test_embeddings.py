@@ -115,3 +115,12 @@ def test_query_on_its_table(spark):
         ).collect()
     ]
     assert {r[0]: tuple(r)[1:] for r in op9_embedding_dedup(spark, SF).collect()} == plain(rows)
+
+
+def test_no_link_across_borders_is_lost(spark):
+    """Vectors near three of 384 dimensions, which the centroids span too, in several cells."""
+    rng = np.random.default_rng(12)
+    few = rng.normal(size=(600, 3)) @ rng.normal(size=(3, 384))
+    rows = [(i, [float(x) for x in v.astype(np.float32)], 0) for i, v in enumerate(few)]
+    got = e.embedding_dedup(spark.createDataFrame(rows, SCHEMA), cell_rows=50).collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == plain(rows)
