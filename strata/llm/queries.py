@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from strata.llm import (
     decontamination,
     embedding_dedup,
+    fill_in_middle,
+    html_extract,
     line_dedup,
     mixing,
+    periodic_runs,
     quality,
     records,
     sharding,
@@ -20,7 +23,8 @@ from strata.llm import (
     suffix_dedup,
     token_counts,
 )
-from strata.llm.common import table
+from strata.llm.common import table, whole
+from strata.session import materialize
 
 SHARDS = 24
 TOKEN_LIMIT = 4096
@@ -114,6 +118,70 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What the query takes for a word of ``documents``, as a pattern.
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by hash of the id, goes on periodically from some word on."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
+    words = F.regexp_extract_all(whole("text"), F.lit(WORD), F.lit(0))
+    hashed = docs.select("doc_id", "text", F.crc32(key).alias("h"))
+    g = F.floor(F.col("h") / 10)
+    split = hashed.withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    n = F.size("words")
+    placed = split.withColumn("a", F.when(n > 0, g % n)).withColumn(
+        "p", 1 + F.floor((n - F.col("a")) / (3 + g % 8))
+    )
+    a, p = F.col("a"), F.col("p")
+    source = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.get("words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")),
+    )
+    planted = F.when(a.isNotNull(), F.array_join(source, " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", planted.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    # Runs are in the order that breaks ties, so only a greater exponent takes the lead.
+    leads = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.get("runs", F.lit(0)),
+        lambda best, run: F.when(
+            run["length"] * best["period"] > best["length"] * run["period"], run
+        ).otherwise(best),
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    text = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    best = F.col("best")
+    return found.withColumn("best", leads).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.col("kept_sha256").alias("collapsed_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = materialize(
+        fill_in_middle.compress_texts(table(spark, sf_dir, "documents")), "text-frames"
+    )
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(framed, seed=7))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("long")
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_line_dedup,
@@ -126,5 +194,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_embedding_dedup,
         op10_suffix_dedup,
+        op11_periodic_runs,
+        op12_fill_in_middle,
+        op13_html_extraction,
     ]
     return {query.__name__: query for query in own}
