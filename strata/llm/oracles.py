@@ -90,9 +90,55 @@ FROM facts f JOIN shares s ON f.source IS NOT DISTINCT FROM s.source
 """
 
 
+FILL_IN_MIDDLE = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+        sha256('7:' || CAST(doc_id AS VARCHAR)) AS hexed
+    FROM documents
+), drawn AS (
+    SELECT *, CAST(len(lines) AS BIGINT) AS n,
+        CAST('0x' || substr(hexed, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(hexed, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(hexed, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(hexed, 25, 8) AS BIGINT) AS h4
+    FROM docs
+), cuts AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT *, array_to_string(lines[1:a], '') AS prefix,
+        array_to_string(lines[a + 1:b], '') AS middle, array_to_string(lines[b + 1:], '') AS suffix
+    FROM cuts
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+        ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+#: In the given pages the main text is marked up as the article, and three references occur.
+HTML_EXTRACTION = r"""
+WITH articles AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages
+), bare AS (
+    SELECT page_id, url, replace(replace(replace(regexp_replace(body, '<[^>]*>', ' ', 'g'),
+        '&quot;', '"'), '&amp;', '\x01'), '&amp', '\x01') AS body FROM articles
+), shown AS (
+    SELECT page_id, url, trim(regexp_replace(replace(body, '\x01', '&'), '\s+', ' ', 'g')) AS text FROM bare
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM shown
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_line_dedup": LINE_DEDUP,
         "op4_mixing": _mixing(),
         "op7_decontamination": DECONTAMINATION,
+        "op12_fill_in_middle": FILL_IN_MIDDLE,
+        "op13_html_extraction": HTML_EXTRACTION,
     }
