@@ -27,25 +27,18 @@ def windowed_pull_requests(
     pr_events: DataFrame,
     reviews: DataFrame,
     comments: DataFrame,
-    split_rows: int = pr_windows.SPLIT_ROWS,
+    slice_rows: int = pr_windows.SLICE_ROWS,
 ) -> DataFrame:
-    """Pull requests with all window columns, split by size of repository.
+    """Pull requests with all window columns.
 
-    Up to ``split_rows`` pull requests a repository's windows run in one task, all on one
-    shuffle. Larger ones are sliced; then all rows are enriched once, written, and divided.
+    Windows run within slices of at most about ``slice_rows`` pull requests. Where no
+    repository is larger, its windows and the aggregate after them share one shuffle; else
+    the rows are written first, as cuts and carried sums are read from them.
     """
-    tables = (pr_events, reviews, comments)
-    large = pr_windows.large_repos(pr_events, split_rows)
-    if not large:
-        prs = enriched_pull_requests(*tables)
+    prs = enriched_pull_requests(pr_events, reviews, comments)
+    if not pr_windows.has_large_repo(pr_events, slice_rows):
         return pr_windows.speed_windows(pr_windows.opening_windows(prs))
-
-    is_large = pr_windows.in_repos(list(large))
-    prs = materialize(enriched_pull_requests(*tables), "enriched")
-    plain = pr_windows.speed_windows(pr_windows.opening_windows(prs.where(~is_large)))
-    huge = prs.where(is_large)
-    slices = max(2, -(-2 * sum(large.values()) // split_rows))
-    return plain.unionByName(pr_windows.split_windows(huge, slices, split_rows))
+    return pr_windows.sliced_windows(materialize(prs, "enriched"), slice_rows)
 
 
 def review_latency(windowed: DataFrame) -> DataFrame:

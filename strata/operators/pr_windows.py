@@ -1,45 +1,49 @@
-"""Windows over the pull requests of one repository, also where one repository is huge.
-
-A window partitioned by repository runs in one task per repository. That is the right
-plan until a repository has more pull requests than a task should sort. Repositories
-above a limit take the second way, which never puts more than a slice of one repository
-into a task and gives the same rows:
-
-* ``ordered_positions`` numbers rows across slices: range-partition on (key, order), sort and
-  number inside each slice, add what the earlier slices of the same key hold. That is one
-  exchange of the rows; the table of (key, slice) runs is joined as its size asks for.
-* with the position known, the moving frame is cut into equal blocks of positions; each
-  block also receives the frame's worth of rows before it.
+"""Windows over the pull requests of one repository, whatever its size.
+
+Every window runs within (group, slice). A group of few rows is one slice. A larger one is
+cut by an ordering into slices of about equal size, and what a slice needs of those before it
+is carried in:
+
+* the number of earlier rows, so that row numbers go on, and the number of earlier rows equal
+  to its first value, so that peers keep one rank across a border;
+* the last rows before it, as context of the moving frame;
+* the totals of the group.
+
+Cuts come from a sample of the group's rows, and are part of the plan from then on: a row's
+slice follows from its own values, so that a recomputed task gives the same rows. Each
+ordering then takes one exchange, on (group, slice). What is carried is a row for each slice,
+and as many rows of context as the frame has.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass, replace
+from functools import partial, reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from strata.functions.columns import hours_between
-from strata.session import materialize
+from strata.session import materialize, run_together
 
 # Fixed value: rows before the current one in the "_50" columns, so a frame of 51 rows.
 ROLLING_ROWS = 50
 
-# More pull requests than this in one repository are not left to a single task. Both ways give
-# the same rows (tested at and around the limit); the limit is a parameter of mart and job.
-SPLIT_ROWS = 2_000_000
+#: Rows of one group that a task sorts; larger groups are cut into slices of about this size.
+SLICE_ROWS = 2_000_000
+#: Sampled rows for each slice of a large group: slices differ in size by some tenths.
+SAMPLED = 64
+#: Slices of one group, at most: beyond them slices grow.
+MOST_SLICES = 65_535
 
-_SPEED = "speed"
+_ID = "pull_request_id"
 
 
 def _day_sizes() -> dict[str, Column]:
     """Sizes of a (repository, day): all pull requests, and those with a review."""
-    return {
-        "day_pr_count": F.count(F.lit(1)),
-        "day_reviewed_pr_count": F.count("first_review_hours"),
-    }
+    return {"rows": F.count(F.lit(1)), "reviewed_pr_count": F.count("first_review_hours")}
 
 
 def _speed() -> Column:
@@ -48,206 +52,266 @@ def _speed() -> Column:
     return F.struct(hours.isNull().alias("unreviewed"), hours.alias("hours"))
 
 
-def _rolling(frame: Window) -> dict[str, Column]:
-    return {
-        "rolling_pr_count_50": F.count(F.lit(1)).over(frame),
-        "rolling_avg_first_review_hours_50": F.avg("first_review_hours").over(frame),
-    }
+@dataclass(frozen=True)
+class Slices:
+    """An ordering of groups by (value, tiebreak), cut where groups are large.
 
+    (value, tiebreak) must be unique within a group and ``value`` not NULL. ``cuts`` and
+    ``carried`` are None where no group is large; then a group is its own slice.
+    """
 
-# --- one task per repository -----------------------------------------------------------
+    name: str
+    keys: tuple[str, ...]
+    value: Column
+    tiebreak: str
+    cuts: DataFrame | None = None
+    carried: DataFrame | None = None
+    #: Slices of the group that has most of them.
+    most: int = 1
+
+    @property
+    def column(self) -> str:
+        return f"{self.name}_slice"
+
+    @property
+    def parts(self) -> list[str]:
+        return [*self.keys, self.column] if self.cuts else [*self.keys]
+
+    @property
+    def window(self) -> WindowSpec:
+        return Window.partitionBy(*self.parts)
+
+    def assign(self, rows: DataFrame) -> DataFrame:
+        """Adds the slice, from the row's own values: how many cuts are not behind them."""
+        if not self.cuts:
+            return rows
+        place = F.struct(self.value.alias("value"), F.col(self.tiebreak).alias("tiebreak"))
+        slot = F.aggregate(
+            F.array(*(F.lit(1 << bit) for bit in reversed(range(self.most.bit_length())))),
+            F.lit(0),
+            lambda at, step: F.when(F.get("cuts", at + step - 1) <= place, at + step).otherwise(at),
+        )
+        cut = left_join(rows, self.cuts, self.keys)
+        return cut.withColumn(self.column, F.when(F.col("cuts").isNotNull(), slot).otherwise(0)).drop("cuts")
 
+    def carry(self, rows: DataFrame) -> DataFrame:
+        """Adds what earlier slices hold; gone again after ``done``."""
+        return left_join(rows, self.carried, [*self.keys, self.column]) if self.carried else rows
 
-def opening_windows(prs: DataFrame) -> DataFrame:
-    """Previous opening, gap to it and moving 51-row count / mean, in order of opening."""
-    by_opening = Window.partitionBy("repo_name").orderBy("opened_at", "pull_request_id")
-    return prs.withColumns(
-        {
-            "prev_opened_at": F.lag("opened_at").over(by_opening),
-            **_rolling(by_opening.rowsBetween(-ROLLING_ROWS, Window.currentRow)),
-        }
-    ).withColumn("pr_gap_hours", hours_between("prev_opened_at", "opened_at"))
+    def _carried(self, name: str) -> Column:
+        return F.coalesce(F.col(f"{self.name}_{name}"), F.lit(0)) if self.carried else F.lit(0)
 
+    def row_number(self) -> Column:
+        """What ``row_number`` over the whole group gives."""
+        ordered = self.window.orderBy(self.value, self.tiebreak)
+        return F.row_number().over(ordered).cast("long") + self._carried("before")
 
-def speed_windows(prs: DataFrame) -> DataFrame:
-    """Rank and percent rank by hours to the first review, unreviewed last.
+    def percent_rank(self) -> Column:
+        """What ``percent_rank`` by the value alone gives over the whole group."""
+        local = F.rank().over(self.window.orderBy(self.value)).cast("long")
+        # The first value of a slice may have come in earlier ones.
+        rank = local + self._carried("before") - F.when(local == 1, self._carried("equal")).otherwise(0)
+        rows = self.total("rows", F.count(F.lit(1)))
+        return F.when(rows > 1, (rank - 1) / (rows - 1)).otherwise(0.0)
 
-    Row numbers break ties by id. The percent rank has none to break: equal hours are
-    peers and share it. The day's sizes place a rank within its (repository, day).
-    """
-    hours, pr = F.asc_nulls_last("first_review_hours"), F.asc("pull_request_id")
-    repo = Window.partitionBy("repo_name")
-    return _day_windows(
-        prs.withColumns(
-            {
-                "repo_review_speed_rank": F.row_number().over(repo.orderBy(hours, pr)).cast("long"),
-                "repo_review_speed_percent_rank": F.percent_rank().over(repo.orderBy(hours)),
-            }
-        )
-    )
+    def total(self, name: str, aggregate: Column) -> Column:
+        """An aggregate over the whole group; ``name`` is what ``cut`` calls it."""
+        own = aggregate.over(self.window)
+        return F.coalesce(F.col(f"{self.name}_all_{name}"), own) if self.carried else own
 
+    def done(self, rows: DataFrame) -> DataFrame:
+        carried = self.carried.columns if self.carried else ()
+        return rows.drop(self.column, *(c for c in carried if c not in self.keys))
 
-def _day_windows(prs: DataFrame) -> DataFrame:
-    """Rank by speed within each (repository, day), and its sizes."""
-    hours, pr = F.asc_nulls_last("first_review_hours"), F.asc("pull_request_id")
-    day = Window.partitionBy("repo_name", "dt")
-    return prs.withColumns(
-        {
-            "daily_review_speed_rank": F.row_number().over(day.orderBy(hours, pr)).cast("long"),
-            **{name: size.over(day) for name, size in _day_sizes().items()},
-        }
-    )
 
+def _same(keys: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(k).eqNullSafe(F.col(f"same_{k}")) for k in keys))
 
-# --- many tasks per repository ---------------------------------------------------------
 
+def left_join(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on equal keys; NULL is a key like any other.
 
-def ordered_positions(
-    df: DataFrame,
+    ``table`` is at rest, so Spark knows its bytes: a short one is sent to the rows, a longer
+    one joined by sort-merge, where partitions that a large group skews are split.
+    """
+    renamed = table.withColumnsRenamed({k: f"same_{k}" for k in keys})
+    return rows.join(renamed, _same(keys), "left").drop(*(f"same_{k}" for k in keys))
+
+
+def cut(
+    rows: DataFrame,
+    name: str,
     keys: Sequence[str],
-    value: str,
+    value: Column,
     tiebreak: str,
-    slices: int,
-    position: str,
-    rank: str | None = None,
-) -> DataFrame:
-    """Number the rows of each key by (value, tiebreak), whatever a key's size.
+    slice_rows: int,
+    totals: dict[str, Column] | None = None,
+) -> Slices:
+    """Find the large groups of ``rows``, their cuts, and what each slice is to carry.
 
-    ``position`` is what ``row_number`` gives, ``rank`` what ``rank`` gives when ordered
-    by ``value`` alone. (value, tiebreak) must be unique within a key, and ``value`` must
-    not be NULL (wrap a nullable one in a struct).
+    A large group's sample is sorted as one row: a 64th of the slices' number times
+    ``slice_rows``, some thirty-thousandth of the group at the default.
     """
-    # One exchange: sorted ranges, written with ids that tell slice and place in the slice.
-    sliced = df.repartitionByRange(slices, *keys, value, tiebreak).sortWithinPartitions(
-        *keys, value, tiebreak
+    whole = Slices(name, tuple(keys), value, tiebreak)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > slice_rows)
+    sizes = materialize(sizes, f"{name}-large")
+    slices = F.least(F.ceil(F.col("n") / slice_rows), F.lit(MOST_SLICES)).cast("int")
+    most = sizes.agg(F.max(slices)).first()[0]
+    if not most:
+        return whole
+    sizes = sizes.withColumn("slices", slices)
+    renamed = sizes.withColumnsRenamed({k: f"same_{k}" for k in keys})
+    large = rows.join(renamed, _same(keys)).drop(*(f"same_{k}" for k in keys))
+    draw = F.pmod(F.xxhash64(tiebreak, F.lit("cut")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sampled = large.where(draw < F.col("slices") * SAMPLED / F.col("n"))
+    place = F.struct(value.alias("value"), F.col(tiebreak).alias("tiebreak"))
+    listed = sampled.groupBy(*keys).agg(
+        F.max("slices").alias("slices"), F.sort_array(F.collect_list(place)).alias("sample")
     )
-    numbered = materialize(sliced.withColumn("row_id", F.monotonically_increasing_id()), "ordered")
-    numbered = numbered.withColumn("slice", F.shiftright("row_id", 33).cast("int"))
-
-    # One row per (key, slice): at most (keys + slices) rows.
-    runs = numbered.groupBy(*keys, "slice").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("row_id").alias("first_id")
-    )
-    earlier = (
-        Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.transform(
+        F.sequence(F.lit(1), F.col("slices") - 1),
+        lambda i: F.get("sample", F.floor(i * F.size("sample") / F.col("slices")).cast("int")),
     )
-    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
-    runs = materialize(
-        runs.select(
-            *(F.col(key).alias(f"run_{key}") for key in keys),
-            F.col("slice").alias("run_slice"),
-            (before + 1 - F.col("first_id")).alias("shift"),
-        ),
-        "runs",
+    cuts = materialize(listed.select(*keys, ends.alias("cuts")), f"{name}-cuts")
+    cut_only = replace(whole, cuts=cuts, most=most)
+    sliced = cut_only.assign(large.drop("n", "slices"))
+    return replace(cut_only, carried=_carry(sliced, cut_only, totals or {}))
+
+
+def _carry(sliced: DataFrame, slices: Slices, totals: dict[str, Column]) -> DataFrame:
+    """A row for each slice: rows before, equal rows before, totals of the group."""
+    name, parts = slices.name, slices.parts
+    by_value = sliced.groupBy(*parts, slices.value.alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), *(c.alias(f"t_{k}") for k, c in totals.items())
     )
-    same = F.col("slice") == F.col("run_slice")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"run_{key}"))
-    placed = numbered.join(runs, same).select(
-        *df.columns, (F.col("row_id") + F.col("shift")).alias(position)
+    by_slice = by_value.groupBy(*parts).agg(
+        F.sum("n").alias("n"),
+        F.min("value").alias("first_value"),
+        F.max("value").alias("last_value"),
+        F.max_by("n", "value").alias("n_last"),
+        *(F.sum(f"t_{k}").alias(f"t_{k}") for k in totals),
     )
-    if not rank:
-        return placed
-    # Equal values share the smallest of their positions.
-    peers = placed.groupBy(*keys, value).agg(F.min(position).alias(rank))
-    return join_sizes(placed, peers, [*keys, value])
-
-
-def blocked_opening_windows(prs: DataFrame, position: str, block_rows: int) -> DataFrame:
-    """``opening_windows`` from known positions, in blocks of positions of bounded size."""
-    block = F.floor((F.col(position) - 1) / block_rows)
-    offset = (F.col(position) - 1) % block_rows
-    # The last rows of a block are also sent, as context, to the next one. Blocks are no
-    # shorter than the frame, so one block back is always enough.
-    targets = F.when(
-        offset >= block_rows - ROLLING_ROWS, F.array(block, block + 1)
-    ).otherwise(F.array(block))
-    spread = prs.withColumn("block", F.explode(targets)).withColumn(
-        "is_context", F.col("block") != block
-    )
-    in_block = Window.partitionBy("repo_name", "block").orderBy(position)
-    windows = spread.withColumns(
-        {
-            "prev_opened_at": F.lag("opened_at").over(in_block),
-            **_rolling(in_block.rowsBetween(-ROLLING_ROWS, Window.currentRow)),
-        }
-    ).where("NOT is_context")
-    return windows.drop("block", "is_context").withColumn(
-        "pr_gap_hours", hours_between("prev_opened_at", "opened_at")
+    group = Window.partitionBy(*slices.keys)
+    ordered = group.orderBy(slices.column)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    # Equal values lie in neighbouring slices: those that end with the value of the last one.
+    ending = Window.partitionBy(*slices.keys, "last_value").orderBy(slices.column)
+    so_far = by_slice.withColumn("n_ending", F.sum("n_last").over(ending))
+    goes_on = F.lag("last_value").over(ordered) == F.col("first_value")
+    carried = so_far.select(
+        *parts,
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(f"{name}_before"),
+        F.when(goes_on, F.lag("n_ending").over(ordered)).otherwise(0).alias(f"{name}_equal"),
+        F.col("n").alias(f"{name}_own"),
+        F.sum("n").over(group).alias(f"{name}_all_rows"),
+        *(F.sum(f"t_{k}").over(group).alias(f"{name}_all_{k}") for k in totals),
     )
+    return materialize(carried, f"{name}-carried")
 
 
-def join_sizes(rows: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the sizes of each row's group; a NULL key is a group too.
+def _context(sliced: DataFrame, slices: Slices, reach: int) -> DataFrame:
+    """The last ``reach`` rows before each slice, under that slice's number.
 
-    The sizes are written first, so that Spark knows their bytes: a short table is broadcast,
-    a longer one joined by sort-merge, where partitions that a large group skews are split.
+    A slice hands its own last rows on to the next one, and to those after it where slices
+    are shorter than the frame.
     """
-    sizes = materialize(sizes.withColumnsRenamed({k: f"sized_{k}" for k in keys}), "sizes")
-    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"sized_{k}")) for k in keys))
-    joined = rows.join(sizes, same)
-    return joined.drop(*(f"sized_{k}" for k in keys))
-
-
-def split_windows(prs: DataFrame, slices: int, block_rows: int) -> DataFrame:
-    """``opening_windows`` and ``speed_windows`` for repositories of any size."""
-    opened = ordered_positions(
-        prs, ["repo_name"], "opened_at", "pull_request_id", slices, "opening_position"
-    )
-    rolled = blocked_opening_windows(opened, "opening_position", max(block_rows, ROLLING_ROWS))
-    timed = rolled.drop("opening_position").withColumn(_SPEED, _speed())
-    ranked = ordered_positions(
-        timed,
-        ["repo_name"],
-        _SPEED,
-        "pull_request_id",
-        slices,
-        "repo_review_speed_rank",
-        "peer_rank",
+    name, column = slices.name, slices.column
+    end = F.col(f"{name}_before") + F.col(f"{name}_own")
+    by_end = Window.partitionBy(*slices.keys).orderBy("end")
+    listed = slices.carried.withColumn("end", end).withColumns(
+        {
+            "target": F.lead(column).over(by_end),
+            "sources": F.collect_list(column).over(by_end.rangeBetween(1 - reach, 0)),
+        }
     )
-    sizes = prs.groupBy("repo_name").agg(F.count(F.lit(1)).alias("repo_prs"))
-    ranked = join_sizes(ranked, sizes, ["repo_name"])
-    percent = F.when(
-        F.col("repo_prs") > 1, (F.col("peer_rank") - 1) / (F.col("repo_prs") - 1)
-    ).otherwise(0.0)
-    ranked = ranked.withColumn("repo_review_speed_percent_rank", percent).drop(
-        "peer_rank", "repo_prs"
+    feeds = listed.select(
+        *slices.keys, "target", F.col("end").alias("target_start"), F.explode("sources").alias("source")
     )
-    sizes = [size.alias(name) for name, size in _day_sizes().items()]
-    days = materialize(prs.groupBy("repo_name", "dt").agg(*sizes), "day-sizes")
-    if days.where(F.col("day_pr_count") > block_rows).isEmpty():
-        # No single day is large: its rank and sizes are plain windows, on one shuffle.
-        return _day_windows(ranked.drop(_SPEED))
-    daily = ordered_positions(
-        ranked,
-        ["repo_name", "dt"],
-        _SPEED,
-        "pull_request_id",
-        slices,
-        "daily_review_speed_rank",
+    feeds = materialize(feeds.where("target IS NOT NULL"), f"{name}-feeds")
+    latest = slices.window.orderBy(slices.value.desc(), F.desc(slices.tiebreak))
+    tails = slices.carry(sliced).where(F.col(f"{name}_own").isNotNull())
+    tails = tails.withColumn("from_end", F.row_number().over(latest)).where(F.col("from_end") <= reach)
+    position = F.col(f"{name}_before") + F.col(f"{name}_own") - F.col("from_end") + 1
+    fed = tails.withColumn("position", position).join(
+        feeds.withColumnsRenamed({k: f"same_{k}" for k in slices.keys}),
+        _same(slices.keys) & (F.col(column) == F.col("source")),
     )
-    return join_sizes(daily.drop(_SPEED), days, ["repo_name", "dt"])
+    near = fed.where(F.col("position") > F.col("target_start") - reach)
+    others = [F.col(c) for c in sliced.columns if c != column]
+    return near.select(*others, F.col("target").alias(column))
 
 
-# --- choice ----------------------------------------------------------------------------
+# --- the windows -----------------------------------------------------------------------
 
 
-def large_repos(pr_events: DataFrame, limit: int = SPLIT_ROWS) -> dict[str | None, int]:
-    """Repositories with more than ``limit`` opening events, an upper bound of their PRs.
+def opening_windows(prs: DataFrame, slices: Slices | None = None) -> DataFrame:
+    """Previous opening, gap to it and moving 51-row count / mean, in order of opening."""
+    slices = slices or Slices("opening", ("repo_name",), F.col("opened_at"), _ID)
+    rows = slices.assign(prs)
+    ordered = slices.window.orderBy(slices.value, slices.tiebreak)
+    frame = ordered.rowsBetween(-ROLLING_ROWS, Window.currentRow)
+    if slices.carried:
+        context = _context(rows, slices, ROLLING_ROWS).withColumn("is_context", F.lit(True))
+        rows = rows.withColumn("is_context", F.lit(False)).unionByName(context)
+    windows = rows.withColumns(
+        {
+            "prev_opened_at": F.lag("opened_at").over(ordered),
+            "rolling_pr_count_50": F.count(F.lit(1)).over(frame),
+            "rolling_avg_first_review_hours_50": F.avg("first_review_hours").over(frame),
+        }
+    )
+    if slices.carried:
+        windows = windows.where("NOT is_context").drop("is_context", slices.column)
+    return windows.withColumn("pr_gap_hours", hours_between("prev_opened_at", "opened_at"))
+
+
+def speed_windows(
+    prs: DataFrame, repo: Slices | None = None, day: Slices | None = None
+) -> DataFrame:
+    """Rank and percent rank by hours to the first review, unreviewed last.
 
-    The scan reads three narrow columns. The answer has fewer than (openings / limit)
-    entries, which is what makes it safe to bring to the driver.
+    Row numbers break ties by id. The percent rank has none to break: equal hours are
+    peers and share it. The day's sizes place a rank within its (repository, day).
     """
+    repo = repo or Slices("speed", ("repo_name",), _speed(), _ID)
+    day = day or Slices("daily", ("repo_name", "dt"), _speed(), _ID)
+    rows = repo.carry(repo.assign(prs))
+    ranked = rows.withColumns(
+        {
+            "repo_review_speed_rank": repo.row_number(),
+            "repo_review_speed_percent_rank": repo.percent_rank(),
+        }
+    )
+    rows = day.carry(day.assign(repo.done(ranked)))
+    counted = rows.withColumns(
+        {
+            "daily_review_speed_rank": day.row_number(),
+            **{f"day_{name}": day.total(name, size) for name, size in _day_sizes().items()},
+        }
+    )
+    return day.done(counted.withColumnRenamed("day_rows", "day_pr_count"))
+
+
+def has_large_repo(pr_events: DataFrame, slice_rows: int) -> bool:
+    """Whether any repository has more than ``slice_rows`` openings, an upper bound of its
+    pull requests. The scan reads three narrow columns."""
     opened = pr_events.where("action = 'opened' AND pull_request_id IS NOT NULL")
     counts = opened.groupBy("repo_name").agg(F.count(F.lit(1)).alias("openings"))
-    return {
-        row.repo_name: row.openings for row in counts.where(F.col("openings") > limit).collect()
-    }
+    return not counts.where(F.col("openings") > slice_rows).isEmpty()
 
 
-def in_repos(repos: Sequence[str | None]) -> Column:
-    """NULL-safe membership; never NULL itself, so its negation keeps the other rows."""
-    named = F.coalesce(
-        F.col("repo_name").isin([r for r in repos if r is not None]), F.lit(False)
+def sliced_windows(prs: DataFrame, slice_rows: int) -> DataFrame:
+    """All windows over pull requests at rest, groups above ``slice_rows`` cut."""
+    reviewed = {"reviewed_pr_count": F.count("first_review_hours")}
+    orderings = (
+        ("opening", ["repo_name"], F.col("opened_at"), {}),
+        ("speed", ["repo_name"], _speed(), {}),
+        ("daily", ["repo_name", "dt"], _speed(), reviewed),
     )
-    return named | F.col("repo_name").isNull() if None in repos else named
+    found: dict[str, Slices] = {}
+
+    def find(name: str, keys: list[str], value: Column, totals: dict[str, Column]) -> None:
+        found[name] = cut(prs, name, keys, value, _ID, slice_rows, totals)
+
+    run_together(partial(find, *ordering) for ordering in orderings)
+    return speed_windows(opening_windows(prs, found["opening"]), found["speed"], found["daily"])

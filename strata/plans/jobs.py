@@ -188,7 +188,7 @@ def run_gold(
     actor_metric: str = "event_count",
     fmt: str = "parquet",
     files: int = 0,
-    split_rows: int = pr_windows.SPLIT_ROWS,
+    slice_rows: int = pr_windows.SLICE_ROWS,
 ) -> list[str]:
     """All marts over the days; returns the names of those written.
 
@@ -200,7 +200,7 @@ def run_gold(
     with scratch(spark, "gold"):
         return _write_marts(
             spark, lake, days, top_n, top_event_types, daily_top_n, top_actors, actor_metric,
-            fmt, files, split_rows,
+            fmt, files, slice_rows,
         )
 
 
@@ -215,7 +215,7 @@ def _write_marts(
     actor_metric: str,
     fmt: str,
     files: int,
-    split_rows: int,
+    slice_rows: int,
 ) -> list[str]:
     source = silver_root(lake)
 
@@ -252,7 +252,7 @@ def _write_marts(
             read("events_pull_request_review"),
             read("events_pull_request_review_comment"),
             days,
-            split_rows,
+            slice_rows,
         ),
     }
     target = gold_root(lake)

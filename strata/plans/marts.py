@@ -128,7 +128,7 @@ def pull_request_review_latency(
     reviews: DataFrame,
     comments: DataFrame,
     days: Days,
-    split_rows: int = pr_windows.SPLIT_ROWS,
+    slice_rows: int = pr_windows.SLICE_ROWS,
 ) -> DataFrame:
-    windowed = latency.windowed_pull_requests(pr_events, reviews, comments, split_rows)
+    windowed = latency.windowed_pull_requests(pr_events, reviews, comments, slice_rows)
     return days.stamp(latency.review_latency(windowed))

@@ -31,8 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 JANUARY = marts.Days(dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 ALL_ORDERS = marts.Days(dt.date(1990, 1, 1), dt.date(2010, 12, 31))
 DRIFT_DAY = dt.date.fromisoformat(rules.DRIFT_DAY)
-# Far below any real limit: the large repository of the benchmark tables is sliced.
-SPLIT_ROWS = 250
+# Far below any real size: the large repository of the benchmark tables is cut into slices.
+SLICE_ROWS = 250
 
 _queries: dict[str, Query] = {}
 
@@ -362,7 +362,7 @@ def pr_speed_rank(spark, sf_dir):
 
 @query
 def pr_windows_split(spark, sf_dir):
-    windowed = latency.windowed_pull_requests(*_pr_tables(spark, sf_dir), SPLIT_ROWS)
+    windowed = latency.windowed_pull_requests(*_pr_tables(spark, sf_dir), SLICE_ROWS)
     return rounded(
         windowed.select(
             *_PR_KEY,
@@ -384,7 +384,7 @@ def pr_review_latency(spark, sf_dir):
 @query
 def pr_review_latency_split(spark, sf_dir):
     return rounded(
-        marts.pull_request_review_latency(*_pr_tables(spark, sf_dir), ALL_ORDERS, SPLIT_ROWS)
+        marts.pull_request_review_latency(*_pr_tables(spark, sf_dir), ALL_ORDERS, SLICE_ROWS)
     )
 
 

@@ -314,7 +314,7 @@ def test_jobs_leave_no_scratch_folder(spark, lake):
         return set(os.listdir(root)) if os.path.isdir(root) else set()
 
     before = left()
-    jobs.run_gold(spark, lake, Days(D1, D2), split_rows=1)
+    jobs.run_gold(spark, lake, Days(D1, D2), slice_rows=1)
     jobs.run_drift(spark, lake, D2)
     assert left() == before
 

@@ -60,34 +60,46 @@ def tables(spark):
 
 
 # The largest repositories have 700 and 150 pull requests: below, at and above those sizes.
-@pytest.mark.parametrize("split_rows", [701, 700, 699, 600, 151, 150, 149, 100, 40])
-def test_sliced_windows_equal_plain_ones(tables, split_rows):
+@pytest.mark.parametrize("slice_rows", [701, 700, 699, 600, 151, 150, 149, 100, 40])
+def test_sliced_windows_equal_plain_ones(tables, slice_rows):
     plain = latency.windowed_pull_requests(*tables)
-    sliced = latency.windowed_pull_requests(*tables, split_rows=split_rows)
+    sliced = latency.windowed_pull_requests(*tables, slice_rows=slice_rows)
     assert plain.count() == 919
     assert plain.schema.simpleString() == sliced.select(plain.columns).schema.simpleString()
     assert rows(plain) == rows(sliced)
 
 
-def test_large_repos_counts_openings_null_repo_included(tables):
-    assert pr_windows.large_repos(tables[0], 100) == {"hot": 700, None: 150}
-    assert pr_windows.large_repos(tables[0]) == {}
-
-
-def test_in_repos_is_never_null(spark):
-    df = spark.createDataFrame([("a",), ("b",), (None,)], "repo_name string")
-    assert df.where(pr_windows.in_repos(["a"])).count() == 1
-    assert df.where(~pr_windows.in_repos(["a"])).count() == 2
-    assert df.where(pr_windows.in_repos(["a", None])).count() == 2
-    assert df.where(~pr_windows.in_repos([None])).count() == 2
-
-
-@pytest.mark.parametrize("slices", [2, 5, 40])
-def test_ordered_positions_match_brute_force(spark, slices):
-    rng = random.Random(slices)
-    data = [(rng.choice("xxxy"), rng.choice([1, 1, 1, 2, 3]), i) for i in range(300)]
-    df = spark.createDataFrame(data, "k string, v int, id int")
-    got = pr_windows.ordered_positions(df, ["k"], "v", "id", slices, "pos", "rnk")
+def test_large_repos_are_found_by_openings_null_repo_included(spark, tables):
+    assert pr_windows.has_large_repo(tables[0], 699)
+    assert not pr_windows.has_large_repo(tables[0], 700)
+    nameless = tables[0].where("repo_name IS NULL")
+    assert pr_windows.has_large_repo(nameless, 149) and not pr_windows.has_large_repo(nameless, 150)
+
+
+def test_slices_share_a_large_group_out(spark):
+    df = spark.range(40_000).selectExpr("id % 2 = 0 AS k", "id % 7 AS v", "id")
+    slices = pr_windows.cut(df, "s", ["k"], F.col("v"), "id", 2_000)
+    sizes = [r["count"] for r in slices.assign(df).groupBy("k", "s_slice").count().collect()]
+    assert len(sizes) == 20 and sum(sizes) == 40_000 and max(sizes) < 3_500
+    none = pr_windows.cut(df, "s", ["k"], F.col("v"), "id", 20_000)
+    assert none.cuts is None and none.parts == ["k"]
+
+
+@pytest.mark.parametrize("slice_rows", [3, 11, 60, 149])
+def test_carried_numbers_match_brute_force(spark, slice_rows):
+    rng = random.Random(slice_rows)
+    data = [(rng.choice(["x", "x", "x", None]), rng.choice([1, 1, 1, 2, 3]), i) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, v int, id int").withColumn("w", F.col("v"))
+    slices = pr_windows.cut(df, "s", ["k"], F.col("v"), "id", slice_rows, {"odd": F.count_if(F.col("v") % 2 == 1)})
+    got = slices.carry(slices.assign(df)).select(
+        "k",
+        "v",
+        "id",
+        slices.row_number().alias("pos"),
+        slices.percent_rank().alias("rank"),
+        slices.total("rows", F.count(F.lit(1))).alias("n"),
+        slices.total("odd", F.count_if(F.col("v") % 2 == 1)).alias("odd"),
+    )
     expected = []
     for k, v, i in data:
         group = [r for r in data if r[0] == k]
@@ -97,19 +109,33 @@ def test_ordered_positions_match_brute_force(spark, slices):
                 v,
                 i,
                 1 + sum((r[1], r[2]) < (v, i) for r in group),
-                1 + sum(r[1] < v for r in group),
+                sum(r[1] < v for r in group) / (len(group) - 1),
+                len(group),
+                sum(r[1] % 2 for r in group),
             )
         )
-    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def exchanges(df):
+    """Shuffles of rows: broadcasts of small tables are others."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
 def test_an_ordering_shuffles_the_rows_once(spark):
-    df = spark.range(100).selectExpr("'k' AS k", "id AS v", "id")
-    got = pr_windows.ordered_positions(df, ["k"], "v", "id", 4, "pos")
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" not in plan  # the ranges are read from where they were written
-    assert "Window" not in plan
-    assert sorted(r["pos"] for r in got.collect()) == list(range(1, 101))
+    prs = spark.range(1_000).select(
+        (F.col("id") % 1).cast("string").alias("repo_name"),
+        F.timestamp_seconds(F.col("id") * 400).alias("opened_at"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 2).cast("int")).alias("dt"),
+        F.col("id").alias("pull_request_id"),
+        (F.col("id") % 10).cast("double").alias("first_review_hours"),
+    )
+    assert exchanges(pr_windows.sliced_windows(prs, 5_000)) == 1
+    sliced = pr_windows.sliced_windows(prs, 100)
+    # Three orderings, and the tails that are handed on as context.
+    assert exchanges(sliced) <= 4
+    plain = pr_windows.speed_windows(pr_windows.opening_windows(prs))
+    assert rows(sliced) == rows(plain.select(sliced.columns))
 
 
 def test_opening_windows_golden(spark):
