@@ -289,7 +289,9 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
     table. Of equal runs in copies each copy has its own.
     """
     own = keyed(docs, "doc_id", "text")
-    dealt = tiles(own).repartition("_key", "octave", "at")
+    # By number: a tile's work is large for its bytes, by which partitions would be merged.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tiles(own).repartition(parts, "_key", "octave", "at")
     found = stitch(solve(dealt))
     runs = found.groupBy("_key").agg(
         F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("found")
