@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.schemas import DATE, STRING, TIMESTAMP, record
+from strata.session import materialize
+from strata.sources import versions
 
 REGISTRY = record(
     track=STRING, payload_variant=STRING, first_seen_dt=DATE, last_updated=TIMESTAMP
@@ -24,41 +25,53 @@ HISTORY = record(
     affected_tracks=T.ArrayType(STRING),
 )
 
-# Fixed value: the version of a registry that has never been written.
-FIRST_VERSION = 1
-
 
 def _registry_root(root: str) -> str:
     return f"{root.rstrip('/')}/variant_registry"
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def _history_root(root: str) -> str:
+    return f"{root.rstrip('/')}/drift_history"
 
 
 def registry_version(spark: SparkSession, root: str) -> int:
-    """The latest snapshot's number, from the names of the files: no snapshot is read."""
-    files = _read_or_empty(spark, _registry_root(root), REGISTRY).inputFiles()
-    found = [int(m[1]) for m in (re.search(r"/version=(\d+)/", f) for f in files) if m]
-    return max(found, default=FIRST_VERSION)
+    """The latest snapshot's number, from the names of the commits: no snapshot is read."""
+    return versions.latest(spark, _registry_root(root))
 
 
 def read_registry(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
     """The latest snapshot of the known variants, and its version; empty before the first."""
-    version = registry_version(spark, root)
-    return _read_or_empty(spark, f"{_registry_root(root)}/version={version}", REGISTRY), version
+    return versions.read(spark, _registry_root(root), REGISTRY)
+
+
+def _stamped(registry: DataFrame) -> DataFrame:
+    return registry.withColumn("last_updated", F.current_timestamp()).select(*REGISTRY.fieldNames())
 
 
 def write_registry(registry: DataFrame, root: str, version: int) -> None:
-    """Add a snapshot. Older ones stay, so the table being merged is never overwritten."""
-    stamped = registry.withColumn("last_updated", F.current_timestamp())
-    snapshot = stamped.select(*REGISTRY.fieldNames())
-    snapshot.write.mode("overwrite").parquet(f"{_registry_root(root)}/version={version}")
+    """Commit a snapshot as ``version``, which must follow the one it was made from.
+
+    Raises ``VersionTaken`` where another run has committed that version. The last few
+    snapshots stay, so the table being merged is never overwritten.
+    """
+    save = _stamped(registry).write.parquet
+    versions.write(registry.sparkSession, _registry_root(root), version, save)
+
+
+def update_registry(
+    spark: SparkSession, root: str, merge: Callable[[DataFrame], DataFrame]
+) -> int:
+    """Commit ``merge`` of the latest snapshot where it adds to it; the version that holds.
+
+    Where another run commits first, its snapshot is merged into again: no variant is lost.
+    """
+
+    def change(known: DataFrame) -> DataFrame | None:
+        merged = materialize(merge(known), "registry")
+        old = known.select(merged.columns)
+        return None if merged.exceptAll(old).isEmpty() else _stamped(merged)
+
+    return versions.update(spark, _registry_root(root), REGISTRY, change)
 
 
 def write_results(daily: DataFrame, verdicts: DataFrame, variants: DataFrame, root: str) -> None:
@@ -101,12 +114,15 @@ def read_verdicts(
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    return _read_or_empty(spark, f"{root.rstrip('/')}/drift_history", HISTORY)
+    """All runs; one file, however many there were."""
+    return versions.read(spark, _history_root(root), HISTORY)[0]
 
 
 def append_history(daily: DataFrame, root: str) -> None:
-    """Record a run. Readers take the last 100 (``drift_history``)."""
-    event = daily.withColumn("recorded_at", F.current_timestamp())
-    event.select(*HISTORY.fieldNames()).coalesce(1).write.mode("append").parquet(
-        f"{root.rstrip('/')}/drift_history"
-    )
+    """Record a run. Readers take the last 100 (``drift_history``).
+
+    The history is a row for each run, rewritten as one file by each: some hundred kilobytes
+    after years of daily runs. Of runs at the same time each is recorded.
+    """
+    event = daily.withColumn("recorded_at", F.current_timestamp()).select(*HISTORY.fieldNames())
+    versions.update(daily.sparkSession, _history_root(root), HISTORY, lambda past: past.unionByName(event))

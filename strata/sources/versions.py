@@ -16,15 +16,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.session import materialize
 from strata.sources import folders
 
 #: Versions that stay: a reader that has just looked up the one before can still read it.
 KEPT = 5
 #: Attempts of ``update`` before it gives up.
 ATTEMPTS = 8
-#: The version of a table that has never been written.
-NONE = 0
+# Fixed value: the version of a table that has never been written.
+NONE = 1
 
 
 class VersionTaken(RuntimeError):
@@ -92,6 +91,20 @@ def write(
     thin(spark, root, keep)
 
 
+def replace(
+    spark: SparkSession, root: str, save: Callable[[str], None], keep: int = KEPT
+) -> int:
+    """Commit what ``save`` writes as the newest version, whichever it follows."""
+    name = uuid.uuid4().hex
+    folder = f"{root.rstrip('/')}/data/{name}"
+    save(folder)
+    version = latest(spark, root) + 1
+    while not folders.create_text(spark, _commit(root, version), name):
+        version += 1
+    thin(spark, root, keep)
+    return version
+
+
 def thin(spark: SparkSession, root: str, keep: int = KEPT) -> None:
     """Drop all but the newest ``keep`` versions. The commit goes first, so that no reader
     is led to files that are gone. Numbers are never used again: the newest always stays."""
@@ -119,9 +132,9 @@ def update(
             changed = change(rows)
             if changed is None:
                 return version
-            # At rest before it is saved, as the files it reads may be thinned meanwhile.
-            changed = materialize(changed.select(*schema.fieldNames()), "version")
-            write(spark, root, version + 1, changed.coalesce(1).write.parquet, keep)
+            # The version it reads from is one of those that stay.
+            changed = changed.select(*schema.fieldNames()).coalesce(1)
+            write(spark, root, version + 1, changed.write.parquet, keep)
             return version + 1
         except VersionTaken:
             continue
