@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +38,10 @@ ENVELOPE_COLUMNS = {
 }
 
 
+#: What an event must have to be kept.
+_NEEDED = ["created_at_ts", "dt", "id", "type"]
+
+
 def parse_lines(raw: DataFrame) -> DataFrame:
     """``raw_json, source_file`` to one ``event`` struct per line, with the verdict ``fault``.
 
@@ -71,17 +78,43 @@ def normalize(events: DataFrame) -> DataFrame:
     """Add ``created_at_ts`` and ``dt``; drop events without time, id or type."""
     timed = events.withColumn("created_at_ts", event_time("created_at"))
     dated = timed.withColumn("dt", F.to_date("created_at_ts"))
-    return dated.dropna(how="any", subset=["created_at_ts", "dt", "id", "type"])
+    return dated.dropna(how="any", subset=_NEEDED)
 
 
-def flatten(events: DataFrame) -> DataFrame:
+def flatten(events: DataFrame, *more: str) -> DataFrame:
     """The base event table's 22 columns."""
     return events.select(
         *(
             F.col(ENVELOPE_COLUMNS.get(name, name)).alias(name)
             for name in EVENTS_BASE.fieldNames()
-        )
+        ),
+        *more,
+    )
+
+
+# What becomes of a line.
+FAULTY, DROPPED, OTHER_DAY, KEPT = "faulty", "dropped", "other_day", "kept"
+OUTCOMES = (FAULTY, DROPPED, OTHER_DAY, KEPT)
+
+
+def judged(raw: DataFrame, wanted: Column) -> DataFrame:
+    """A base row for every line, with its ``outcome``; rows not kept have no payload.
+
+    An event is kept that normalisation keeps, of its file's own day and where ``wanted``.
+    """
+    lines = parse_lines(raw).select("event.*", "source_file", "fault")
+    timed = lines.withColumn("created_at_ts", event_time("created_at"))
+    dated = timed.withColumn("dt", F.to_date("created_at_ts"))
+    lacks = reduce(or_, (F.col(name).isNull() for name in _NEEDED))
+    own_day = F.coalesce((F.col("dt") == file_day()) & wanted, F.lit(False))
+    outcome = (
+        F.when(F.col("fault").isNotNull(), FAULTY)
+        .when(lacks, DROPPED)
+        .otherwise(F.when(own_day, KEPT).otherwise(OTHER_DAY))
     )
+    told = dated.withColumn("outcome", outcome)
+    slim = told.withColumn("payload", F.when(F.col("outcome") == KEPT, F.col("payload")))
+    return flatten(slim, "outcome")
 
 
 def events_base(raw: DataFrame) -> DataFrame:

@@ -34,6 +34,29 @@ def metadata_root(lake: str) -> str:
     return f"{lake.rstrip('/')}/metadata"
 
 
+def base_rows(
+    lines: DataFrame, days: Days, repartition: int = 0, coalesce: int = 0
+) -> tuple[DataFrame, Observation]:
+    """The base table's rows of the days as they are written, and the counts of all lines.
+
+    Lines are counted by outcome in the very tasks that write the files: Spark adds up such a
+    task once, when it is committed, so the counts stay exact where stages before are
+    recomputed after a loss. With ``repartition``, lines that are not kept pass the shuffle as
+    well, as short rows.
+    """
+    judged = events.judged(lines, in_days(days.start, days.end))
+    if repartition > 0:
+        # Kept apart by type too, so that spreading the rows does not mix the row groups.
+        judged = judged.repartition(repartition, "dt", "event_type", F.xxhash64("event_id") % 64)
+    elif coalesce > 0:
+        judged = judged.coalesce(coalesce)
+    seen = Observation("lines by outcome")
+    by_outcome = (F.count_if(F.col("outcome") == o).alias(o) for o in events.OUTCOMES)
+    counted = judged.observe(seen, F.count(F.lit(1)).alias("lines"), *by_outcome)
+    kept = counted.where(F.col("outcome") == events.KEPT).drop("outcome")
+    return kept.sortWithinPartitions("dt", "event_type"), seen
+
+
 def load_silver(
     lines: DataFrame,
     lake: str,
@@ -47,25 +70,12 @@ def load_silver(
     track, read back from the base table, skips the row groups of other types; only its
     typed columns are shuffled, into files of a sensible size.
 
-    Returns the line counts of the run, gathered while writing: lines, faulty ones, events
-    that normalisation dropped, events of another day, events kept. They inform: a stage
-    that is recomputed after a loss may count its lines again, the tables stay right.
+    Returns the line counts of the run: lines, faulty ones, events that normalisation
+    dropped, events of another day, events kept.
     """
     require_utc(lines.sparkSession)
-    seen, readable, valid, kept = (Observation(n) for n in ("seen", "readable", "valid", "kept"))
-    count = F.count(F.lit(1)).alias("n")
-    parsed = events.parse_lines(lines).observe(seen, count)
-    usable = events.readable_events(parsed).observe(readable, count)
-    timed = events.normalize(usable).observe(valid, count)
-    own_day = events.on_own_day(events.flatten(timed)).where(in_days(days.start, days.end))
-    base = own_day.observe(kept, count)
-    if repartition > 0:
-        # Kept apart by type too, so that spreading the rows does not mix the row groups.
-        base = base.repartition(repartition, "dt", "event_type", F.xxhash64("event_id") % 64)
-    elif coalesce > 0:
-        base = base.coalesce(coalesce)
     spark, root = lines.sparkSession, silver_root(lake)
-    base = base.sortWithinPartitions("dt", "event_type")
+    base, seen = base_rows(lines, days, repartition, coalesce)
     silver.write_days(base, root, silver.BASE, row_group_bytes=BASE_ROW_GROUP_BYTES)
 
     written = silver.read_days(spark, root, silver.BASE, days.start, days.end)
@@ -76,14 +86,7 @@ def load_silver(
 
     run_together(partial(write_track, name) for name in TRACKS)
 
-    total, read, dated, final = (o.get["n"] for o in (seen, readable, valid, kept))
-    return {
-        "lines": total,
-        "faulty": total - read,
-        "dropped": read - dated,
-        "other_day": dated - final,
-        "kept": final,
-    }
+    return {name: seen.get[name] for name in ("lines", *events.OUTCOMES)}
 
 
 def run_silver(
@@ -103,17 +106,8 @@ def run_silver(
 
 def silver_audit(spark: SparkSession, lake: str, days: Days) -> DataFrame:
     """Files, bytes and rows per dataset and day of the range, and which are missing."""
-    root = silver_root(lake)
-    parts = [
-        silver.audit_days(spark, root, name, days.start, days.end).withColumn(
-            "dataset", F.lit(name)
-        )
-        for name in (silver.BASE, *TRACKS)
-    ]
-    audit = parts[0]
-    for part in parts[1:]:
-        audit = audit.unionByName(part)
-    return audit
+    names = (silver.BASE, *TRACKS)
+    return silver.audit_tables(spark, silver_root(lake), names, days.start, days.end)
 
 
 def silver_profile(spark: SparkSession, lake: str, days: Days) -> DataFrame:
@@ -156,7 +150,7 @@ def run_drift(
         # Small from here on: one row per track and variant of the day.
         shapes = materialize(drift.shape_profile(observed), "drift-profile")
         variants = drift.variant_counts(shapes)
-        registry, version = metadata.read_registry(spark, root)
+        registry, _ = metadata.read_registry(spark, root)
         earlier = registry.where(F.col("first_seen_dt") < F.lit(day))
         labelled = drift.label_variants(variants, earlier, scope)
         expected = drift.expected_tracks(day_rows(spark, day, day), names)
@@ -169,10 +163,10 @@ def run_drift(
         daily = drift.daily_verdicts(verdicts)
         metadata.write_results(daily, verdicts, labelled, root)
         metadata.append_history(daily, root)
-        merged = drift.merge_registry(registry, drift.new_variants(variants, earlier, scope), scope)
-        known = registry.select(merged.columns)
-        if not merged.exceptAll(known).isEmpty():
-            metadata.write_registry(merged, root, version + 1)
+        new = drift.new_variants(variants, earlier, scope)
+        metadata.update_registry(
+            spark, root, lambda known: drift.merge_registry(known, new, scope)
+        )
         schema = verdicts.schema
     return metadata.read_verdicts(spark, root, day, schema)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from strata.functions.columns import in_days
 from strata.functions.schemas import EVENTS_BASE
 from strata.operators.manifest import days
 from strata.operators.tracks import TRACKS, track
+from strata.sources import folders
 
 BASE = "events_base"
 
@@ -76,8 +78,38 @@ def read_table(spark: SparkSession, root: str, dataset: str) -> DataFrame:
 def read_days(
     spark: SparkSession, root: str, dataset: str, start: dt.date, end: dt.date
 ) -> DataFrame:
-    """An inclusive day range of a dataset; only those partitions are listed into the scan."""
-    return read_table(spark, root, dataset).where(in_days(start, end))
+    """An inclusive day range of a dataset, from the folders of those days alone.
+
+    One listing of the dataset's folder tells which days there are; the files of other days
+    are never listed. A dataset never written is an error, days without a folder are not.
+    """
+    path, schema = table_path(root, dataset), table_schema(spark, dataset)
+    folders_found = [f"{path}/{name}" for _, name in day_folders(spark, root, dataset, start, end)]
+    if folders_found:
+        found = spark.read.schema(schema).option("basePath", path).parquet(*folders_found)
+        return found.where(in_days(start, end))
+    # As a scan has it: the partition column comes last.
+    own = [field for field in schema.fields if field.name != "dt"]
+    return spark.createDataFrame([], T.StructType([*own, schema["dt"]]))
+
+
+def day_folders(
+    spark: SparkSession, root: str, dataset: str, start: dt.date, end: dt.date
+) -> list[tuple[dt.date, str]]:
+    """The days of the range that have a folder, with its name."""
+    path = table_path(root, dataset)
+    names = folders.names(spark, path)
+    if not names and not folders.exists(spark, path):
+        read_table(spark, root, dataset)  # reports the missing path as Spark does
+    dated = ((_folder_day(name), name) for name in names)
+    return sorted((day, name) for day, name in dated if day and start <= day <= end)
+
+
+def _folder_day(name: str) -> dt.date | None:
+    try:
+        return dt.date.fromisoformat(name.removeprefix("dt=")) if name.startswith("dt=") else None
+    except ValueError:
+        return None
 
 
 def read_for_marts(
@@ -128,23 +160,43 @@ def write_days(
     writer.partitionBy("dt").parquet(table_path(root, dataset))
 
 
-def audit_days(
-    spark: SparkSession, root: str, dataset: str, start: dt.date, end: dt.date
+def audit_tables(
+    spark: SparkSession, root: str, datasets: Sequence[str], start: dt.date, end: dt.date
 ) -> DataFrame:
-    """Files, bytes and rows of each day of the range, ``missing`` where a day has no partition.
+    """Files, bytes and rows of each dataset and day, ``missing`` where there is no partition.
 
-    Only the range's partitions are listed. A dataset never written is an error.
+    One scan over the range's folders of all datasets; it reads no column, so of every file
+    only the footer, which tells its rows. A dataset never written is an error.
     """
-    table = read_days(spark, root, dataset, start, end)
-    files = table.groupBy("dt", "_metadata.file_path", "_metadata.file_size").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    found = files.groupBy("dt").agg(
+    paths = [
+        f"{table_path(root, name)}/{folder}"
+        for name in datasets
+        for _, folder in day_folders(spark, root, name, start, end)
+    ]
+    scanned = spark.read.schema("event_id string").option("recursiveFileLookup", True)
+    if paths:
+        own = scanned.parquet(*paths).select("_metadata.file_path", "_metadata.file_size")
+    else:
+        own = spark.createDataFrame([], "file_path string, file_size long")
+    parts = F.split("file_path", "/")
+    files = own.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("rows"))
+    found = files.groupBy(
+        F.element_at(parts, -3).alias("dataset"),
+        F.to_date(F.substring_index(F.element_at(parts, -2), "=", -1)).alias("dt"),
+    ).agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("file_size").alias("bytes"),
         F.sum("rows").alias("rows"),
     )
-    joined = days(spark, start, end).join(found, "dt", "left")
+    due = days(spark, start, end).select("dt", F.explode(F.array(*map(F.lit, datasets))).alias("dataset"))
+    joined = due.join(found, ["dt", "dataset"], "left")
     return joined.withColumn("missing", F.col("files").isNull()).fillna(
         0, ["files", "bytes", "rows"]
     )
+
+
+def audit_days(
+    spark: SparkSession, root: str, dataset: str, start: dt.date, end: dt.date
+) -> DataFrame:
+    """``audit_tables`` of one dataset."""
+    return audit_tables(spark, root, [dataset], start, end).drop("dataset")

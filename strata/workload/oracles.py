@@ -723,6 +723,10 @@ def all_oracles() -> dict[str, str]:
             f"SELECT raw_json, '{rules.DRIFT_DAY.replace('-', '/')}' AS folder FROM raw "
             f"WHERE source_file LIKE 'archive/{rules.DRIFT_DAY.replace('-', '/')}/%'"
         ),
+        "bronze_hour": _over_raw(
+            f"SELECT raw_json, split_part(source_file, '/', 5) AS source_name FROM raw WHERE "
+            f"source_file LIKE '%/{rules.DRIFT_DAY}-{rules.LANDED_HOUR}.json.gz'"
+        ),
         "envelope_parse": _over_raw(
             "SELECT CAST(e AS VARCHAR) AS event_id, kind AS event_type, created_at, "
             "payload_text AS payload_raw, fault = 'wrong type' AS is_corrupt "
@@ -860,6 +864,17 @@ def all_oracles() -> dict[str, str]:
             _STATUS,
             select="SELECT status, count(*) AS hours FROM statuses GROUP BY 1",
         ),
+        "landed_hours": _over_raw(
+            "SELECT DISTINCT split_part(source_file, '/', 5) AS source_name, TRUE AS has_bytes FROM raw"
+        ),
+        "landed_summary": _with(
+            _FACTS,
+            _RAW,
+            _MANIFEST,
+            select=f"SELECT CASE WHEN l.source_name < '{rules.DRIFT_DAY}' THEN 'skipped' "
+            "WHEN l.source_name IS NULL THEN 'failed' ELSE 'ok' END AS status, count(*) AS hours "
+            "FROM manifest m LEFT JOIN landed l ON m.source_name = l.source_name GROUP BY 1",
+        ),
         "silver_report": _with(
             _FACTS,
             select="SELECT unnest(['lines', 'faulty', 'dropped', 'other_day', 'kept']) AS measure, "
@@ -922,4 +937,5 @@ def all_oracles() -> dict[str, str]:
             "CAST(3 AS BIGINT) AS version FROM variants GROUP BY 1, 2",
         ),
     }
-    return oracles
+    # The same hours are missing whether they are told by lines or by a listing.
+    return oracles | {"landed_missing_hours": oracles["missing_hours"]}

@@ -211,6 +211,15 @@ def bronze_day(spark, sf_dir):
     return scanned.select("raw_json", folder.alias("folder"))
 
 
+@query
+def bronze_hour(spark, sf_dir):
+    """One hour's file of the landed archive, by its name."""
+    hour = dt.datetime.combine(DRIFT_DAY, dt.time(rules.LANDED_HOUR))
+    scanned = bronze.read_hour(spark, views.landed_archive(spark, sf_dir), hour)
+    name = F.element_at(F.split("source_file", "/"), -1)
+    return scanned.select("raw_json", name.alias("source_name"))
+
+
 @query
 def envelope_parse(spark, sf_dir):
     parsed = events.parse_lines(views.raw_lines(spark, sf_dir))
@@ -531,6 +540,37 @@ def ingest_summary(spark, sf_dir):
     return manifest.ingest_summary(_statuses(spark, sf_dir))
 
 
+def _landed_until(spark: SparkSession, sf_dir: str, last: dt.date) -> DataFrame:
+    """What a listing of the archive's folders finds, up to a day."""
+    own = span(spark, sf_dir)
+    return bronze.landed_files(spark, views.landed_archive(spark, sf_dir), own.start, last)
+
+
+@query
+def landed_hours(spark, sf_dir):
+    """The hourly files as a listing of the landed archive finds them."""
+    # A late event's file may lie in the folder of the day behind the span.
+    last = span(spark, sf_dir).end + dt.timedelta(days=1)
+    landed = _landed_until(spark, sf_dir, last)
+    return landed.select("source_name", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query
+def landed_missing_hours(spark, sf_dir):
+    """``missing_hours`` by the listing of the days before the drift day."""
+    landed = _landed_until(spark, sf_dir, DRIFT_DAY - dt.timedelta(days=1))
+    return manifest.missing_hours(manifest.hour_manifest(_days(spark, sf_dir)), landed)
+
+
+@query
+def landed_summary(spark, sf_dir):
+    """How an ingest run went that found the days before the drift day and landed the rest."""
+    before = _landed_until(spark, sf_dir, DRIFT_DAY - dt.timedelta(days=1))
+    after = _landed_until(spark, sf_dir, span(spark, sf_dir).end)
+    due = manifest.hour_manifest(_days(spark, sf_dir))
+    return manifest.ingest_summary(manifest.ingest_status(due, before, after))
+
+
 # --- the jobs, over tables at rest -------------------------------------------------------
 
 _lakes: dict[tuple[str, str], tuple[str, dict[str, int]]] = {}
@@ -588,7 +628,10 @@ def output_audit(spark, sf_dir):
 def _gold_query(name: str) -> None:
     def run(spark, sf_dir):
         lake = _lake(spark, sf_dir)[0]
-        return rounded(spark.read.parquet(f"{jobs.gold_root(lake)}/{name}"))
+        path = f"{jobs.gold_root(lake)}/{name}"
+        if name in ("daily_top_repos", "push_branch_ratio", "pull_request_review_latency"):
+            return rounded(spark.read.parquet(path))
+        return rounded(gold.read_mart(spark, path))
 
     run.__name__ = f"gold_{name}"
     query(run)
@@ -611,10 +654,10 @@ for _name in (
 def gold_csv_top_repos(spark, sf_dir):
     """A mart written as CSV with a header, read back by its declared columns."""
     lake = _lake(spark, sf_dir)[0]
-    mart = spark.read.parquet(f"{jobs.gold_root(lake)}/top_repos")
+    mart = gold.read_mart(spark, f"{jobs.gold_root(lake)}/top_repos")
     path = scratch_path(spark, "gold-csv")
     gold.write_mart(mart, path, "csv")
-    return spark.read.option("header", True).option("enforceSchema", False).schema(mart.schema).csv(path)
+    return gold.read_mart(spark, path, "csv", mart.schema)
 
 
 def _two_drift_runs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:

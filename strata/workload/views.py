@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.events import events_base
-from strata.session import materialize
+from strata.session import materialize, scratch_path
+from strata.sources import folders
 from strata.workload import rules
 
 
@@ -68,6 +69,31 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _at_rest(spark, sf_dir, "raw-lines", build)
 
 
+_archives: dict[tuple[str, str], str] = {}
+
+
+def landed_archive(spark: SparkSession, sf_dir: str) -> str:
+    """The root of the archive as hourly gzip files under their days' folders.
+
+    Each hour's lines are written as one file by the task that has them, and then named.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _archives:
+        staged, root = scratch_path(spark, "landing"), scratch_path(spark, "archive")
+        lines = raw_lines(spark, sf_dir).selectExpr(
+            "raw_json", "replace(replace(source_file, 'archive/', ''), '/', '_') AS file"
+        )
+        by_file = lines.repartition("file").write.partitionBy("file")
+        by_file.option("compression", "gzip").text(staged)
+        for folder in folders.names(spark, staged):
+            if folder.startswith("file="):
+                target = folder.removeprefix("file=").replace("_", "/")
+                (part,) = (n for n in folders.names(spark, f"{staged}/{folder}") if n.endswith(".gz"))
+                folders.rename(spark, f"{staged}/{folder}/{part}", f"{root}/{target}")
+        _archives[key] = root
+    return _archives[key]
+
+
 def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base events of the archive's lines, each file sorted as the silver job sorts it."""
 

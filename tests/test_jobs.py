@@ -175,6 +175,40 @@ def test_day_ranges_prune_partitions(spark, lake):
     assert "payload_raw" not in plan
 
 
+def test_a_day_is_read_from_its_folder_alone(spark, tmp_path):
+    """The file index holds the range's files: no other day is ever listed."""
+    rows = spark.range(300).selectExpr(
+        "CAST(id AS STRING) AS event_id", "date_add(DATE '2024-01-01', CAST(id % 30 AS INT)) AS dt"
+    )
+    silver.write_days(rows, str(tmp_path), silver.BASE)
+    (tmp_path / silver.BASE / "dt=nonsense").mkdir()
+    whole = silver.read_table(spark, str(tmp_path), silver.BASE)
+    one = silver.read_days(spark, str(tmp_path), silver.BASE, D2, D2)
+    listed = one._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().inputFiles()
+    assert len(listed) >= 1 and all(f"dt={D2}/" in file for file in listed)
+    assert one.count() == 10 and one.columns == whole.columns
+    assert silver.read_days(spark, str(tmp_path), silver.BASE, D1, D3).count() == 30
+    gone = silver.read_days(spark, str(tmp_path), silver.BASE, dt.date(2025, 1, 1), dt.date(2025, 1, 2))
+    assert gone.count() == 0 and gone.schema == whole.schema
+
+
+def test_audit_reads_footers_in_one_scan(spark, lake):
+    audit = jobs.silver_audit(spark, lake, Days(D1, D3))
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_counts_are_gathered_in_the_tasks_that_write(spark, landing):
+    """Above the last shuffle: a map stage that is run again cannot count its lines twice."""
+    lines = bronze.read_day(spark, landing, D1)
+    rows, seen = jobs.base_rows(lines, Days(D1, D1), repartition=3)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Exchange") < plan.index("from_json")
+    assert rows.count() == 4
+    assert seen.get == {"lines": 8, "faulty": 2, "dropped": 1, "other_day": 1, "kept": 4}
+
+
 def test_audit(spark, lake):
     got = {
         (r.dataset, r.dt): r for r in jobs.silver_audit(spark, lake, Days(D1, D3)).collect()
@@ -202,7 +236,11 @@ def test_gold_marts(spark, lake):
     days = Days(D1, D2)
     names = jobs.run_gold(spark, lake, days)
     root = jobs.gold_root(lake)
-    read = {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    daily = {"daily_top_repos", "push_branch_ratio", "pull_request_review_latency"}
+    read = {
+        name: spark.read.parquet(f"{root}/{name}") if name in daily else gold.read_mart(spark, f"{root}/{name}")
+        for name in names
+    }
     assert len(names) == 8
     top = read["top_repos"].collect()
     assert [(r.repo_name, r.repo_event_count, r.start_dt, r.end_dt) for r in top] == [
@@ -220,8 +258,8 @@ def test_gold_marts(spark, lake):
 
     # Another day: whole marts are replaced, daily ones keep the days not in the run.
     jobs.run_gold(spark, lake, Days(D2, D2), daily_top_n=0, actor_metric="distinct_repo")
-    assert spark.read.parquet(f"{root}/top_repos").first().repo_event_count == 2
-    assert spark.read.parquet(f"{root}/top_actors").columns[1] == "actor_repo_count"
+    assert gold.read_mart(spark, f"{root}/top_repos").first().repo_event_count == 2
+    assert gold.read_mart(spark, f"{root}/top_actors").columns[1] == "actor_repo_count"
     assert spark.read.parquet(f"{root}/push_branch_ratio").count() == 2
     assert spark.read.parquet(f"{root}/daily_top_repos").count() == 2
 
@@ -229,7 +267,9 @@ def test_gold_marts(spark, lake):
 def test_gold_csv_and_unknown_formats(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, D1)], "name string, n long, dt date")
     gold.write_mart(df, f"{tmp_path}/csv", "csv", files=1)
-    assert spark.read.option("header", True).csv(f"{tmp_path}/csv").first().name == "a"
+    got = gold.read_mart(spark, f"{tmp_path}/csv", "csv", df.schema)
+    assert got.first().name == "a" and got.schema == df.schema
+    assert spark.read.option("header", True).csv(gold.mart_path(spark, f"{tmp_path}/csv")).count() == 1
     gold.write_mart(df, f"{tmp_path}/by_day", partition_by="dt")
     assert os.listdir(f"{tmp_path}/by_day").count(f"dt={D1}") == 1
     with pytest.raises(ValueError):
