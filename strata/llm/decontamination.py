@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import keyed, keyed_whole, ship_package
+from strata.session import materialize
 
 WORDS = 10
 #: Windows that one broadcast set may hold; a larger benchmark is scanned in so many parts.
@@ -110,21 +112,26 @@ def benchmark_windows(benchmark: DataFrame, size: int = WORDS) -> DataFrame:
     )
 
 
-def _window_parts(benchmark: DataFrame, size: int, at_once: int) -> list[_Shared]:
-    """The distinct windows in broadcasts of at most ``at_once`` windows each."""
+def _window_parts(benchmark: DataFrame, size: int, at_once: int) -> Iterator[_Shared]:
+    """The distinct windows in broadcasts of at most ``at_once`` windows each.
+
+    One part is alive at a time: the one before is freed when the next is asked for, so the
+    findings of a part must be at rest by then. A single part stays for as long as it is used.
+    """
     spark = benchmark.sparkSession
-    windows = benchmark_windows(benchmark, size)
+    windows = materialize(benchmark_windows(benchmark, size), "benchmark-windows")
     n = windows.count()
     # Twice as many parts as needed on average, so that hashing leaves none above the bound.
     parts = 1 if n <= at_once else 2 * n // at_once + 1
-    out = []
     for part in range(parts):
         own = windows if parts == 1 else windows.where(
             F.pmod(F.xxhash64("window"), F.lit(parts)) == part
         )
         pairs = [(bytes(window), list(items)) for window, items in own.collect()]
-        out.append(_Shared(spark.sparkContext.broadcast(pairs)))
-    return out
+        shared = _Shared(spark.sparkContext.broadcast(pairs), parts == 1)
+        yield shared
+        if parts > 1:
+            shared.broadcast.destroy()
 
 
 class _Shared:
@@ -132,8 +139,8 @@ class _Shared:
 
     built: tuple[str, WindowSet] | None = None
 
-    def __init__(self, broadcast):
-        self.broadcast, self.name = broadcast, uuid.uuid4().hex
+    def __init__(self, broadcast, alone: bool):
+        self.broadcast, self.name, self.alone = broadcast, uuid.uuid4().hex, alone
 
     def windows(self) -> WindowSet:
         if _Shared.built is None or _Shared.built[0] != self.name:
@@ -164,23 +171,39 @@ def find_contamination(
     empty benchmark hits nothing. Columns other than ids and texts are not read.
     """
     ship_package(docs.sparkSession)
-    shared = _window_parts(benchmark, size, at_once)
-    if len(shared) == 1:
+    parts = _window_parts(benchmark, size, at_once)
+    first = next(parts)
+    if first.alone:
         slim = docs.select(F.col("doc_id").cast("long"), "text")
-        return slim.mapInArrow(_scanner(shared[0]), f"doc_id long, {_FOUND}")
+        return slim.mapInArrow(_scanner(first), f"doc_id long, {_FOUND}")
     own = keyed(docs, "doc_id", "text")
-    texts, schema = own.select("_key", "text"), f"_key long, {_FOUND}"
-    passes = [texts.mapInArrow(_scanner(part), schema) for part in shared]
-    found = reduce(DataFrame.union, passes).groupBy("_key").agg(
-        F.first("n_words").alias("n_words"),
+    found = _found_in_parts(own.select("_key", "text"), first, parts, hits_only=False)
+    merged = found.groupBy("_key").agg(
+        F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
     return own.select("_key", F.col("doc_id").cast("long")).join(
-        found.mapInArrow(_merge, schema), "_key"
+        merged.mapInArrow(_merge, f"_key long, {_FOUND}"), "_key"
     ).drop("_key")
 
 
+def _found_in_parts(
+    texts: DataFrame, first: _Shared, others: Iterator[_Shared], hits_only: bool
+) -> DataFrame:
+    """(_key, n_words, spans, items): the findings of each part, at rest before the next.
+
+    Rows without a hit come from the first part, or from none with ``hits_only``.
+    """
+    passes = []
+    for part in chain([first], others):
+        found = texts.mapInArrow(_scanner(part), f"_key long, {_FOUND}")
+        if passes or hits_only:
+            found = found.where(F.size("spans") > 0)
+        passes.append(materialize(found, "contaminated-part"))
+    return reduce(DataFrame.union, passes)
+
+
 _FOUND = "n_words long, spans array<struct<start: int, end: int>>, items array<string>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -228,17 +251,20 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` whose text has no window of the benchmark; all columns as they are.
 
-    Where the windows fit one broadcast, texts are judged where they are read and none moves;
-    with more, findings are joined by id (rows that share an id go together). Rows without id
-    are judged each by its own text either way.
+    Each row is judged by its own text, whatever the benchmark's size and whatever id it
+    shares. Where the windows fit one broadcast, texts are judged where they are read and none
+    moves; with more, each part marks rows by a key of their own. Null and empty texts stay,
+    repeated rows stay or go together, an empty benchmark or table drops nothing; columns of
+    any name are carried along.
     """
-    shared = _window_parts(benchmark, size, at_once)
     ship_package(docs.sparkSession)
-    if len(shared) == 1:
+    parts = _window_parts(benchmark, size, at_once)
+    first = next(parts)
+    if first.alone:
 
         @F.pandas_udf("boolean")
         def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            windows = shared[0].windows()
+            windows = first.windows()
             for texts in batches:
                 yield pd.Series(
                     [len(windows.hits(words_of(text))[0]) > 0 for text in texts], dtype=bool
@@ -246,10 +272,5 @@ def without_contaminated(
 
         return docs.where(~hit(docs["text"]))
     own = keyed_whole(docs, "doc_id", "text")
-    texts = own.select(F.col("_key").alias("doc_id"), "text")
-    found = find_contamination(texts, benchmark, size, at_once).where(F.size("spans") > 0)
-    marked = own.select("_key", F.col("_row.doc_id").alias("doc_id"))
-    hit = marked.join(found.select(F.col("doc_id").alias("_key")), "_key", "left_semi")
-    alike = hit.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    together = marked.join(alike, "doc_id", "left_semi").select("_key")
-    return own.join(hit.select("_key").union(together), "_key", "left_anti").select("_row.*")
+    found = _found_in_parts(own.select("_key", "text"), first, parts, hits_only=True)
+    return own.join(found.select("_key").distinct(), "_key", "left_anti").select("_row.*")

@@ -1,6 +1,9 @@
 """Benchmark decontamination against a plain scan."""
 
+import os
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
@@ -8,6 +11,8 @@ import pytest
 from llm_tables import LOWER, PASSAGE, TEXTS, awkward, documents, empty
 from strata.llm import decontamination as d
 
+REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 ITEMS = [
     (1, PASSAGE),
     (
@@ -76,10 +81,7 @@ def test_awkward_rows(spark, at_once):
     assert Counter(digest(d.find_contamination(frame, benchmark(spark), at_once=at_once))) == Counter(plain(texts, ITEMS))
     kept = d.without_contaminated(frame, benchmark(spark), at_once=at_once)
     assert kept.columns == frame.columns
-    hit_ids = {i for i, _, n, _ in plain(texts, ITEMS) if n}
-    clean = Counter(
-        i for i, _, n, _ in plain(texts, ITEMS) if not n and (at_once > 7 or i not in hit_ids)
-    )
+    clean = Counter(i for i, _, n, _ in plain(texts, ITEMS) if not n)
     assert Counter(r["doc_id"] for r in kept.collect()) == clean
 
 
@@ -104,3 +106,28 @@ def test_rows_without_id_are_judged_by_themselves(spark, at_once):
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
         [(None, "clean and without id"), (None, None), (2, "clean")]
     )
+
+
+@pytest.mark.parametrize("at_once", [500_000, 7])
+def test_rows_that_share_an_id_are_judged_by_themselves(spark, at_once):
+    texts = [(1, PASSAGE), (1, "clean under the same id"), (1, "clean under the same id"), (2, "clean")]
+    kept = d.without_contaminated(documents(spark, texts), benchmark(spark), at_once=at_once)
+    assert sorted(r["text"] for r in kept.collect()) == sorted(t for _, t in texts[1:])
+
+
+def test_alone_in_a_session_whose_workers_do_not_find_the_package(tmp_path):
+    code = f"""
+import sys
+sys.path[:0] = {[REPO, os.path.dirname(os.path.abspath(__file__))]!r}
+import test_decontamination as t
+from strata.session import build_session
+spark = build_session("alone", "local[1]", **{{"spark.ui.enabled": "false"}})
+from llm_tables import documents
+print("kept", t.d.without_contaminated(documents(spark), t.benchmark(spark)).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "kept " in done.stdout

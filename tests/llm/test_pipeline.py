@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no benchmark tabl
 @pytest.fixture(scope="module")
 def con():
     con = connect(SF)
-    for name in ("documents", "embeddings", "benchmark", "labels"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return con
 
@@ -34,7 +34,7 @@ def test_query_equals_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", set(llm_queries()) - set(llm_oracles()))
 def test_query_gives_a_row_for_each_input_row(spark, name):
-    source = "embeddings" if name.startswith("op9") else "documents"
+    source = {"op9": "embeddings"}.get(name.split("_")[0], "documents")
     rows = llm_queries()[name](spark, SF)
     key = rows.columns[0]
     wanted = spark.read.parquet(f"{SF}/{source}.parquet").select(key).collect()
