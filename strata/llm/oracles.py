@@ -79,8 +79,17 @@ WITH facts AS (
         pow(sum(tokens) OVER (PARTITION BY lang), 0.9) AS to_lang,
         pow(sum(tokens) OVER (PARTITION BY topic), 1.0) AS to_topic
     FROM cells
-), {", ".join(steps)}, shares AS (
-    SELECT source, lang, topic, (w / tokens) / max(w / tokens) OVER () AS probability FROM {last}
+), {", ".join(steps)}, used AS (
+    -- The cells that are used up first lead; whichever of them are, the scale is no smaller.
+    SELECT *, sum(tokens) OVER (ORDER BY tokens / w, source, lang, topic) AS t,
+        sum(w) OVER (ORDER BY tokens / w, source, lang, topic) AS u,
+        sum(w) OVER () AS whole, 0.8 * sum(tokens) OVER () AS budget
+    FROM {last}
+), scale AS (
+    SELECT greatest(max(budget / whole), max((budget - t) / (whole - u))
+        FILTER (WHERE whole - u > 1e-9 * whole)) AS factor FROM used
+), shares AS (
+    SELECT source, lang, topic, least(1.0, factor * w / tokens) AS probability FROM used, scale
 )
 SELECT f.doc_id, f.source, f.lang, f.topic, f.tokens, round(probability, 9) AS probability,
     CAST('0x' || substr(md5(concat_ws('-', 'mix', CAST(doc_id AS VARCHAR))), 1, 13) AS BIGINT)
@@ -120,6 +129,30 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), links AS (
+    SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reached AS (
+    SELECT a AS vec_id, b AS other FROM links
+    UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), firsts AS (
+    SELECT vec_id, min(other) AS other FROM reached GROUP BY 1
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id,
+    vec_id = least(vec_id, coalesce(other, vec_id)) AS kept
+FROM embeddings LEFT JOIN firsts USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
 #: In the given pages the main text is marked up as the article, and three references occur.
 HTML_EXTRACTION = r"""
 WITH articles AS (
@@ -139,6 +172,7 @@ def llm_oracles() -> dict[str, str]:
         "op1_line_dedup": LINE_DEDUP,
         "op4_mixing": _mixing(),
         "op7_decontamination": DECONTAMINATION,
+        "op9_embedding_dedup": EMBEDDING_DEDUP,
         "op12_fill_in_middle": FILL_IN_MIDDLE,
         "op13_html_extraction": HTML_EXTRACTION,
     }

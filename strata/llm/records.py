@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm.common import keyed, ship_package
-from strata.session import scratch_path
+from strata.session import shared_folder
 
 #: Words that one worker remembers before it starts anew, and the longest of them.
 REMEMBERED = 350_000
@@ -314,4 +314,5 @@ def _read(index: DataFrame, path: str, column: str, of) -> DataFrame:
 
 
 def new_folder(spark: SparkSession) -> str:
-    return scratch_path(spark, "records")
+    """A folder for record files. They are a result, so it lies outside of scratch folders."""
+    return f"{shared_folder(spark)}/strata/records-{uuid.uuid4().hex}"

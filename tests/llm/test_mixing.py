@@ -30,17 +30,59 @@ def marginal(cells, dimension):
     return {value: x / everything for value, x in total.items()}
 
 
+def kept_share(cells):
+    return sum(r["tokens"] * r["probability"] for r in cells) / sum(r["tokens"] for r in cells)
+
+
+@pytest.mark.parametrize("budget", [0.05, 0.5, 0.8, 0.97, 1.0])
+def test_the_budget_is_met_with_cells_kept_whole_where_they_are_too_small(spark, mixed, budget):
+    cells = mixing.raked(mixing.facts(mixed)).collect()
+    got = {tuple(r[d] for d in mixing.DIMENSIONS): r for r in mixing.probabilities(mixing.facts(mixed), budget=budget).collect()}
+    assert kept_share(got.values()) == pytest.approx(budget)
+    # By bisection: the scale at which the cells' sums meet the budget.
+    low, high, total = 0.0, 1e12, sum(r.tokens for r in cells)
+    for _ in range(200):
+        middle = (low + high) / 2
+        enough = sum(min(r.tokens, middle * r.w) for r in cells) >= budget * total
+        low, high = (low, middle) if enough else (middle, high)
+    for r in cells:
+        share = min(1, high * r.w / r.tokens)
+        assert got[tuple(r[d] for d in mixing.DIMENSIONS)].probability == pytest.approx(share, abs=1e-6)
+
+
+def test_one_odd_document_leaves_the_others_alone(spark, mixed):
+    odd = spark.createDataFrame([(9999, "ten words " * 5, "xx", "a new source", None)], SCHEMA)
+    before, after = (
+        kept_share(mixing.probabilities(mixing.facts(docs)).collect()) for docs in (mixed, mixed.union(odd))
+    )
+    assert abs(before - after) < 0.001
+    old = {r["doc_id"] for r in mixing.mix(mixed).collect() if r["kept"]}
+    new = {r["doc_id"] for r in mixing.mix(mixed.union(odd)).collect() if r["kept"]}
+    assert len(old ^ new) < 0.01 * len(old)
+
+
+def test_convergence_is_measured(spark, mixed):
+    few, many = (
+        {r.dimension: r.error for r in mixing.convergence(mixing.raked(mixing.facts(mixed), rounds=n)).collect()}
+        for n in (1, 8)
+    )
+    assert set(many) == set(mixing.DIMENSIONS)
+    assert max(many.values()) < 1e-6 <= max(few.values()) and many["topic"] < 1e-9
+
+
 def test_expected_tokens_have_the_target_shares(spark, mixed):
     targets = {"source": {"big": 0.3, "small": 0.5, "tiny": 0.2}, "lang": {"en": 0.5, "de": 0.5}}
     rows = mixing.facts(mixed.where("source IS NOT NULL"))
-    cells = mixing.probabilities(rows, targets, rounds=30).collect()
+    # A budget that no cell is too small for.
+    cells = mixing.probabilities(rows, targets, rounds=30, budget=0.05).collect()
     for dimension, shares in targets.items():
         assert marginal(cells, dimension) == pytest.approx(shares, abs=1e-6)
-    assert max(row["probability"] for row in cells) == pytest.approx(1)
+    assert max(row["probability"] for row in cells) < 1
+    assert kept_share(cells) == pytest.approx(0.05)
 
 
 def test_flattened_shares_by_default(spark, mixed):
-    cells = mixing.probabilities(mixing.facts(mixed), rounds=30).collect()
+    cells = mixing.probabilities(mixing.facts(mixed), rounds=30, budget=0.5).collect()
     for dimension, power in mixing.FLATTENING.items():
         own = Counter()
         for row in cells:
