@@ -906,6 +906,21 @@ def all_oracles() -> dict[str, str]:
             f"SELECT 'push_commits', dt FROM commits WHERE NOT ({IS_LATE})) GROUP BY 1, 2) "
             "USING (dataset, dt)",
         ),
+        "silver_days": _with(
+            _FACTS,
+            _SILVER,
+            select=f"SELECT dt, {rules.REPO_NAME} AS repo_name, login AS actor_login, "
+            "kind AS event_type, CAST(e AS VARCHAR) AS event_id FROM silver WHERE dt BETWEEN "
+            f"DATE '{rules.DRIFT_DAY}' - INTERVAL 1 DAY AND DATE '{rules.DRIFT_DAY}' + INTERVAL 1 DAY",
+        ),
+        "silver_track_day": _with(
+            _FACTS,
+            _SILVER,
+            select=f"SELECT dt, CAST(e AS VARCHAR) AS event_id, {rules.REPO_NAME} AS repo_name, "
+            f"{_VERDICT['payload_variant']} AS payload_variant, "
+            f"coalesce({_old_push('e % 3')}, 0) AS commit_count "
+            f"FROM silver WHERE kind = 'PushEvent' AND dt = DATE '{rules.DRIFT_DAY}'",
+        ),
         "gold_top_repos": _over_silver(_stamped(silver_repos)),
         "gold_event_type_counts": _over_silver(_stamped(_top("s_events", *types))),
         "gold_top_repo_event_types": _over_silver(

@@ -625,6 +625,22 @@ def output_audit(spark, sf_dir):
     )
 
 
+@query
+def silver_days(spark, sf_dir):
+    """Three days of the base table, read from their folders, with the columns of the marts."""
+    root = jobs.silver_root(_lake(spark, sf_dir)[0])
+    last = DRIFT_DAY + dt.timedelta(days=1)
+    return silver.read_for_marts(spark, root, silver.BASE, DRIFT_DAY - dt.timedelta(days=1), last)
+
+
+@query
+def silver_track_day(spark, sf_dir):
+    """One day of a track, as the drift check reads it."""
+    root = jobs.silver_root(_lake(spark, sf_dir)[0])
+    day = silver.read_day_or_empty(spark, root, "events_push", DRIFT_DAY)
+    return day.select("dt", "event_id", "repo_name", "payload_variant", "commit_count")
+
+
 def _gold_query(name: str) -> None:
     def run(spark, sf_dir):
         lake = _lake(spark, sf_dir)[0]
