@@ -725,7 +725,8 @@ def all_oracles() -> dict[str, str]:
         ),
         "bronze_hour": _over_raw(
             f"SELECT raw_json, split_part(source_file, '/', 5) AS source_name FROM raw WHERE "
-            f"source_file LIKE '%/{rules.DRIFT_DAY}-{rules.LANDED_HOUR}.json.gz'"
+            f"CAST(file_ts AS DATE) = DATE '{rules.DRIFT_DAY}' AND hour(file_ts) = (SELECT "
+            f"min(hour(file_ts)) FROM raw WHERE CAST(file_ts AS DATE) = DATE '{rules.DRIFT_DAY}')"
         ),
         "envelope_parse": _over_raw(
             "SELECT CAST(e AS VARCHAR) AS event_id, kind AS event_type, created_at, "

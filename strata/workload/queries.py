@@ -213,9 +213,12 @@ def bronze_day(spark, sf_dir):
 
 @query
 def bronze_hour(spark, sf_dir):
-    """One hour's file of the landed archive, by its name."""
-    hour = dt.datetime.combine(DRIFT_DAY, dt.time(rules.LANDED_HOUR))
-    scanned = bronze.read_hour(spark, views.landed_archive(spark, sf_dir), hour)
+    """The first hour's file that has landed for the drift day, by its name."""
+    root = views.landed_archive(spark, sf_dir)
+    landed = bronze.landed_files(spark, root, DRIFT_DAY, DRIFT_DAY)
+    hours = F.regexp_extract("source_name", r"-(\d+)\.json", 1).cast("int")
+    first = landed.agg(F.min(hours)).first()[0]
+    scanned = bronze.read_hour(spark, root, dt.datetime.combine(DRIFT_DAY, dt.time(first)))
     name = F.element_at(F.split("source_file", "/"), -1)
     return scanned.select("raw_json", name.alias("source_name"))
 

@@ -7,7 +7,6 @@ same rows. Nothing here uses the library: its results are what the rules are to
 from __future__ import annotations
 
 DRIFT_DAY = "2024-01-16"  # payload shapes change on this day
-LANDED_HOUR = 7  # the hour of that day whose file is read by itself
 
 # --- facts about one event: e = event id, u = user, k = the number in props ---------------
 
