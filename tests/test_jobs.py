@@ -1,6 +1,7 @@
 """Round trip over files: landed lines to silver, drift and gold, and the bookkeeping."""
 
 import datetime as dt
+import glob
 import gzip
 import json
 import os
@@ -209,6 +210,38 @@ def test_counts_are_gathered_in_the_tasks_that_write(spark, landing):
     assert seen.get == {"lines": 8, "faulty": 2, "dropped": 1, "other_day": 1, "kept": 4}
 
 
+def test_counts_stay_exact_where_a_stage_runs_again(spark, tmp_path):
+    """The first writing task loses the shuffle's files, so the map stage is run once more."""
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [d.getPath() for d in env.blockManager().diskBlockManager().localDirs()]
+    once = str(tmp_path / "once")
+
+    @F.udf("boolean")
+    def lose_shuffle(_):
+        try:
+            os.close(os.open(once, os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return True
+        for folder in folders:
+            for file in glob.glob(f"{folder}/*/shuffle_*.data"):
+                os.remove(file)
+        return True
+
+    lines = [push(i, D1, 7) for i in range(400)] + ["{broken"] * 7 + [push(i, D2, 7) for i in range(9)]
+    raw = spark.createDataFrame([(x, "a/2024-01-01-7.json.gz") for x in lines], "raw_json string, source_file string")
+    rows, seen = jobs.base_rows(raw, Days(D1, D1), repartition=40)
+    spark.sparkContext.setJobGroup("lost", "a shuffle is lost")
+    try:
+        rows.where(lose_shuffle("event_id")).write.format("noop").mode("overwrite").save()
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup("lost") for s in tracker.getJobInfo(job).stageIds]
+        infos = filter(None, map(tracker.getStageInfo, stages))
+        assert any(info.currentAttemptId > 0 for info in infos)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert seen.get == {"lines": 416, "faulty": 7, "dropped": 0, "other_day": 9, "kept": 400}
+
+
 def test_audit(spark, lake):
     got = {
         (r.dataset, r.dt): r for r in jobs.silver_audit(spark, lake, Days(D1, D3)).collect()
