@@ -1,5 +1,6 @@
 """Token counts of prefixes, and token records: against the tokenizer libraries."""
 
+import random
 import zlib
 from collections import Counter
 
@@ -46,6 +47,28 @@ def test_every_prefix_has_the_library_s_count(text):
         assert counter.at(text, ends, counts, length) == len(counter.model.encode(text[:length]))
 
 
+def test_prefixes_within_words_follow_the_library():
+    rng, counter = random.Random(5), token_counts._counter(PIECES)
+    parts = ["ing", "tion", "the", "er", "th", "s", " ", "  ", "▁", "日本", "中", "é", "😀", "\n", "0", "<s>", "x" * 20]
+    for _ in range(300):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        ends, counts = counter.table(text)
+        library = [len(counter.model.encode(text[:n])) for n in range(len(text) + 1)]
+        assert [counter.at(text, ends, counts, n) for n in range(len(text) + 1)] == library
+        for budget in {0, 1, 2, library[-1] // 2, library[-1] - 1, library[-1], library[-1] + 5}:
+            longest = max(n for n in range(len(text) + 1) if library[n] <= budget) if budget >= 0 else 0
+            assert counter.fitting(text, ends, counts, budget) == longest, (text, budget)
+
+
+def test_a_text_without_blanks_is_cut_within_its_word(spark, pieces):
+    rng = random.Random(6)
+    text = "".join(rng.choice("日本語中国人大小上下一二三的是在不了有和") for _ in range(20_000))
+    row = token_counts.prefix_counts(documents(spark, [(1, text)]), PIECES, 4_096).first()
+    fits = row["fits_chars"]
+    assert len(pieces.encode(text[:fits])) <= 4_096 < len(pieces.encode(text[: fits + 1]))
+    assert fits > 4_000
+
+
 def test_counts_of_whole_texts(spark, pieces):
     got = {
         r["doc_id"]: r for r in token_counts.prefix_counts(documents(spark), PIECES, 50).collect()
