@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +30,9 @@ def windowed_pull_requests(
     reviews: DataFrame,
     comments: DataFrame,
     slice_rows: int = pr_windows.SLICE_ROWS,
+    wanted: Sequence[str] = tuple(pr_windows.WINDOWS),
 ) -> DataFrame:
-    """Pull requests with all window columns.
+    """Pull requests with the columns of all windows, or of those ``wanted``.
 
     Windows run within slices of at most about ``slice_rows`` pull requests. Where no
     repository is larger, its windows and the aggregate after them share one shuffle; else
@@ -37,8 +40,8 @@ def windowed_pull_requests(
     """
     prs = enriched_pull_requests(pr_events, reviews, comments)
     if not pr_windows.has_large_repo(pr_events, slice_rows):
-        return pr_windows.speed_windows(pr_windows.opening_windows(prs))
-    return pr_windows.sliced_windows(materialize(prs, "enriched"), slice_rows)
+        return pr_windows.all_windows(prs, wanted)
+    return pr_windows.sliced_windows(materialize(prs, "enriched"), slice_rows, wanted)
 
 
 def review_latency(windowed: DataFrame) -> DataFrame:

@@ -10,9 +10,10 @@ is carried in:
 * the totals of the group.
 
 Cuts come from a sample of the group's rows, and are part of the plan from then on: a row's
-slice follows from its own values, so that a recomputed task gives the same rows. Each
-ordering then takes one exchange, on (group, slice). What is carried is a row for each slice,
-and as many rows of context as the frame has.
+slice follows from its own values, so that a recomputed task gives the same rows. A group of
+very many slices is cut level by level, so that neither a sample nor the cuts that a row is
+compared with grow with the group. Each ordering then takes one exchange, on (group, slice).
+What is carried is a row for each slice, and as many rows of context as the frame has.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ ROLLING_ROWS = 50
 SLICE_ROWS = 2_000_000
 #: Sampled rows for each slice of a large group: slices differ in size by some tenths.
 SAMPLED = 64
-#: Slices of one group, at most: beyond them slices grow.
-MOST_SLICES = 65_535
+#: Slices that one cut makes of a group, at most; where more are due, each of them is cut again.
+FAN = 256
 
 _ID = "pull_request_id"
 
@@ -64,10 +65,9 @@ class Slices:
     keys: tuple[str, ...]
     value: Column
     tiebreak: str
-    cuts: DataFrame | None = None
+    #: A table for each level: the slice so far, and where it is cut again.
+    cuts: tuple[DataFrame, ...] | None = None
     carried: DataFrame | None = None
-    #: Slices of the group that has most of them.
-    most: int = 1
 
     @property
     def column(self) -> str:
@@ -83,16 +83,22 @@ class Slices:
 
     def assign(self, rows: DataFrame) -> DataFrame:
         """Adds the slice, from the row's own values: how many cuts are not behind them."""
-        if not self.cuts:
-            return rows
+        return reduce(self.assign_level, self.cuts, self.uncut(rows)) if self.cuts else rows
+
+    def uncut(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(self.column, F.lit(0).cast("long"))
+
+    def assign_level(self, rows: DataFrame, cuts: DataFrame) -> DataFrame:
+        """The slices of the next level, in the order of those so far."""
         place = F.struct(self.value.alias("value"), F.col(self.tiebreak).alias("tiebreak"))
         slot = F.aggregate(
-            F.array(*(F.lit(1 << bit) for bit in reversed(range(self.most.bit_length())))),
+            F.array(*(F.lit(1 << bit) for bit in reversed(range((FAN - 1).bit_length())))),
             F.lit(0),
             lambda at, step: F.when(F.get("cuts", at + step - 1) <= place, at + step).otherwise(at),
         )
-        cut = left_join(rows, self.cuts, self.keys)
-        return cut.withColumn(self.column, F.when(F.col("cuts").isNotNull(), slot).otherwise(0)).drop("cuts")
+        cut = left_join(rows, cuts, [*self.keys, self.column])
+        own = F.when(F.col("cuts").isNotNull(), slot).otherwise(0)
+        return cut.withColumn(self.column, F.col(self.column) * FAN + own).drop("cuts")
 
     def carry(self, rows: DataFrame) -> DataFrame:
         """Adds what earlier slices hold; gone again after ``done``."""
@@ -149,33 +155,54 @@ def cut(
 ) -> Slices:
     """Find the large groups of ``rows``, their cuts, and what each slice is to carry.
 
-    A large group's sample is sorted as one row: a 64th of the slices' number times
-    ``slice_rows``, some thirty-thousandth of the group at the default.
+    A group is cut into ``FAN`` slices at most, and where it is due more, each of these is a
+    group of the next level. A sample, sorted as one row, is so ``FAN`` times ``SAMPLED`` rows
+    at most, whatever the group's size.
     """
     whole = Slices(name, tuple(keys), value, tiebreak)
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > slice_rows)
-    sizes = materialize(sizes, f"{name}-large")
-    slices = F.least(F.ceil(F.col("n") / slice_rows), F.lit(MOST_SLICES)).cast("int")
-    most = sizes.agg(F.max(slices)).first()[0]
-    if not most:
+    parts = [*keys, whole.column]
+    todo, large, levels = whole.uncut(rows), None, []
+    while True:
+        sizes = todo.groupBy(*parts).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > slice_rows)
+        sizes = materialize(sizes, f"{name}-large")
+        most = sizes.agg(F.max("n")).first()[0]
+        if not most:
+            break
+        slices = F.least(F.ceil(F.col("n") / slice_rows), F.lit(FAN)).cast("int")
+        members = _of_groups(todo, sizes.withColumn("slices", slices), parts)
+        levels.append(materialize(_cuts(members, whole, len(levels)), f"{name}-cuts"))
+        large = members.drop("n", "slices", whole.column) if large is None else large
+        if most <= FAN * slice_rows:
+            break
+        capped = sizes.where(F.col("n") > FAN * slice_rows).drop("n")
+        todo = whole.assign_level(_of_groups(todo, capped, parts), levels[-1])
+    if not levels:
         return whole
-    sizes = sizes.withColumn("slices", slices)
-    renamed = sizes.withColumnsRenamed({k: f"same_{k}" for k in keys})
-    large = rows.join(renamed, _same(keys)).drop(*(f"same_{k}" for k in keys))
-    draw = F.pmod(F.xxhash64(tiebreak, F.lit("cut")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sampled = large.where(draw < F.col("slices") * SAMPLED / F.col("n"))
-    place = F.struct(value.alias("value"), F.col(tiebreak).alias("tiebreak"))
-    listed = sampled.groupBy(*keys).agg(
+    cut_only = replace(whole, cuts=tuple(levels))
+    return replace(cut_only, carried=_carry(cut_only.assign(large), cut_only, totals or {}))
+
+
+def _of_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of some groups, with what ``groups`` tells of theirs."""
+    renamed = groups.withColumnsRenamed({k: f"same_{k}" for k in keys})
+    return rows.join(renamed, _same(keys)).drop(*(f"same_{k}" for k in keys))
+
+
+def _cuts(members: DataFrame, whole: Slices, level: int) -> DataFrame:
+    """The places that cut each group of ``n`` rows into ``slices``, by a sample of it."""
+    parts = [*whole.keys, whole.column]
+    seed = F.lit(f"cut{level or ''}")
+    draw = F.pmod(F.xxhash64(whole.tiebreak, seed), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sampled = members.where(draw < F.col("slices") * SAMPLED / F.col("n"))
+    place = F.struct(whole.value.alias("value"), F.col(whole.tiebreak).alias("tiebreak"))
+    listed = sampled.groupBy(*parts).agg(
         F.max("slices").alias("slices"), F.sort_array(F.collect_list(place)).alias("sample")
     )
     ends = F.transform(
         F.sequence(F.lit(1), F.col("slices") - 1),
         lambda i: F.get("sample", F.floor(i * F.size("sample") / F.col("slices")).cast("int")),
     )
-    cuts = materialize(listed.select(*keys, ends.alias("cuts")), f"{name}-cuts")
-    cut_only = replace(whole, cuts=cuts, most=most)
-    sliced = cut_only.assign(large.drop("n", "slices"))
-    return replace(cut_only, carried=_carry(sliced, cut_only, totals or {}))
+    return listed.select(*parts, ends.alias("cuts"))
 
 
 def _carry(sliced: DataFrame, slices: Slices, totals: dict[str, Column]) -> DataFrame:
@@ -300,18 +327,37 @@ def has_large_repo(pr_events: DataFrame, slice_rows: int) -> bool:
     return not counts.where(F.col("openings") > slice_rows).isEmpty()
 
 
-def sliced_windows(prs: DataFrame, slice_rows: int) -> DataFrame:
-    """All windows over pull requests at rest, groups above ``slice_rows`` cut."""
+#: What is computed over pull requests, and the orderings that it needs.
+WINDOWS = {"opening": ["opening"], "speed": ["speed", "daily"]}
+
+
+def all_windows(
+    prs: DataFrame, wanted: Sequence[str] = tuple(WINDOWS), found: dict[str, Slices] | None = None
+) -> DataFrame:
+    """The wanted windows, within slices where some were found."""
+    found = found or {}
+    if "opening" in wanted:
+        prs = opening_windows(prs, found.get("opening"))
+    if "speed" in wanted:
+        prs = speed_windows(prs, found.get("speed"), found.get("daily"))
+    return prs
+
+
+def sliced_windows(
+    prs: DataFrame, slice_rows: int, wanted: Sequence[str] = tuple(WINDOWS)
+) -> DataFrame:
+    """The wanted windows over pull requests at rest, groups above ``slice_rows`` cut."""
     reviewed = {"reviewed_pr_count": F.count("first_review_hours")}
-    orderings = (
-        ("opening", ["repo_name"], F.col("opened_at"), {}),
-        ("speed", ["repo_name"], _speed(), {}),
-        ("daily", ["repo_name", "dt"], _speed(), reviewed),
-    )
+    orderings = {
+        "opening": (["repo_name"], F.col("opened_at"), {}),
+        "speed": (["repo_name"], _speed(), {}),
+        "daily": (["repo_name", "dt"], _speed(), reviewed),
+    }
     found: dict[str, Slices] = {}
 
-    def find(name: str, keys: list[str], value: Column, totals: dict[str, Column]) -> None:
+    def find(name: str) -> None:
+        keys, value, totals = orderings[name]
         found[name] = cut(prs, name, keys, value, _ID, slice_rows, totals)
 
-    run_together(partial(find, *ordering) for ordering in orderings)
-    return speed_windows(opening_windows(prs, found["opening"]), found["speed"], found["daily"])
+    run_together(partial(find, name) for window in wanted for name in WINDOWS[window])
+    return all_windows(prs, wanted, found)

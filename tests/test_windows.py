@@ -192,3 +192,19 @@ def test_speed_windows_peers_and_unreviewed(spark):
         2: (4, 0.75, 4),
         5: (5, 0.75, 5),
     }
+
+
+def test_groups_of_very_many_slices_are_cut_level_by_level(spark, monkeypatch):
+    monkeypatch.setattr(pr_windows, "FAN", 4)
+    df = spark.range(3_000).selectExpr("id % 3 < 2 AS k", "id % 7 AS v", "id")
+    slices = pr_windows.cut(df, "s", ["k"], F.col("v"), "id", 100)
+    # 2,000 rows are cut into 4, 4 times 4 and some of these again; no row meets more cuts.
+    assert len(slices.cuts) == 3
+    assert all(c.agg(F.max(F.size("cuts"))).first()[0] <= 3 for c in slices.cuts)
+    sizes = [r["count"] for r in slices.assign(df).groupBy("k", "s_slice").count().collect()]
+    assert sum(sizes) == 3_000 and max(sizes) <= 200
+    got = slices.carry(slices.assign(df)).select("k", "v", "id", slices.row_number().alias("pos"))
+    expected = {}
+    for k, v, i in sorted((i % 3 < 2, i % 7, i) for i in range(3_000)):
+        expected.setdefault(k, []).append((k, v, i, len(expected.get(k, ())) + 1))
+    assert sorted(map(tuple, got.collect())) == [r for k in (False, True) for r in expected[k]]
