@@ -15,7 +15,6 @@ from strata.operators import (
     events,
     latency,
     manifest,
-    pr_windows,
     profile,
     pull_requests,
     pushes,
@@ -343,17 +342,15 @@ _PR_KEY = ["repo_name", "pull_request_id"]
 
 @query
 def pr_gap_lag(spark, sf_dir):
-    prs = latency.enriched_pull_requests(*_pr_tables(spark, sf_dir))
-    return rounded(
-        pr_windows.opening_windows(prs).select(*_PR_KEY, "prev_opened_at", "pr_gap_hours")
-    )
+    windowed = latency.windowed_pull_requests(*_pr_tables(spark, sf_dir), wanted=["opening"])
+    return rounded(windowed.select(*_PR_KEY, "prev_opened_at", "pr_gap_hours"))
 
 
 @query
 def pr_rolling(spark, sf_dir):
-    prs = latency.enriched_pull_requests(*_pr_tables(spark, sf_dir))
+    windowed = latency.windowed_pull_requests(*_pr_tables(spark, sf_dir), wanted=["opening"])
     return rounded(
-        pr_windows.opening_windows(prs).select(
+        windowed.select(
             *_PR_KEY, "rolling_pr_count_50", "rolling_avg_first_review_hours_50"
         )
     )
@@ -368,8 +365,8 @@ _SPEED_COLUMNS = [
 
 @query
 def pr_speed_rank(spark, sf_dir):
-    prs = latency.enriched_pull_requests(*_pr_tables(spark, sf_dir))
-    return rounded(pr_windows.speed_windows(prs).select(*_PR_KEY, *_SPEED_COLUMNS))
+    windowed = latency.windowed_pull_requests(*_pr_tables(spark, sf_dir), wanted=["speed"])
+    return rounded(windowed.select(*_PR_KEY, *_SPEED_COLUMNS))
 
 
 @query
