@@ -573,32 +573,41 @@ def landed_summary(spark, sf_dir):
 
 # --- the jobs, over tables at rest -------------------------------------------------------
 
-_lakes: dict[tuple[str, str], tuple[str, dict[str, int]]] = {}
+_silver: dict[tuple[str, str], tuple[str, dict[str, int]]] = {}
+_gold: set[tuple[str, str]] = set()
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
-    """A lake with silver and gold of the whole archive, built once per session."""
+def _silver_lake(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+    """A lake with silver of the whole archive and the job's line counts, built once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _lakes:
+    if key not in _silver:
         lake = scratch_path(spark, "lake")
-        days = span(spark, sf_dir)
-        report = jobs.load_silver(views.raw_lines(spark, sf_dir), lake, days)
-        jobs.run_gold(spark, lake, days)
-        _lakes[key] = lake, report
-    return _lakes[key]
+        report = jobs.load_silver(views.raw_lines(spark, sf_dir), lake, span(spark, sf_dir))
+        _silver[key] = lake, report
+    return _silver[key]
+
+
+def _gold_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The same lake with gold of its silver, for the queries that read marts."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    lake, _ = _silver_lake(spark, sf_dir)
+    if key not in _gold:
+        jobs.run_gold(spark, lake, span(spark, sf_dir))
+        _gold.add(key)
+    return lake
 
 
 @query
 def silver_report(spark, sf_dir):
     """The job's own line counts, which it gathers over all lines while it writes."""
-    _, report = _lake(spark, sf_dir)
+    _, report = _silver_lake(spark, sf_dir)
     return spark.createDataFrame(list(report.items()), "measure string, lines long")
 
 
 @query
 def silver_rows(spark, sf_dir):
     """The audit's rows per dataset and day, with whether files and bytes were found."""
-    audit = jobs.silver_audit(spark, _lake(spark, sf_dir)[0], span(spark, sf_dir))
+    audit = jobs.silver_audit(spark, _silver_lake(spark, sf_dir)[0], span(spark, sf_dir))
     return audit.where("NOT missing").select(
         "dataset",
         "dt",
@@ -613,7 +622,7 @@ def output_audit(spark, sf_dir):
     """The audit of all days and one more on either side; sizes depend on the writer."""
     own, day = span(spark, sf_dir), dt.timedelta(days=1)
     audit = jobs.silver_audit(
-        spark, _lake(spark, sf_dir)[0], marts.Days(own.start - day, own.end + day)
+        spark, _silver_lake(spark, sf_dir)[0], marts.Days(own.start - day, own.end + day)
     )
     return audit.select(
         "dataset",
@@ -628,7 +637,7 @@ def output_audit(spark, sf_dir):
 @query
 def silver_days(spark, sf_dir):
     """Three days of the base table, read from their folders, with the columns of the marts."""
-    root = jobs.silver_root(_lake(spark, sf_dir)[0])
+    root = jobs.silver_root(_silver_lake(spark, sf_dir)[0])
     last = DRIFT_DAY + dt.timedelta(days=1)
     return silver.read_for_marts(spark, root, silver.BASE, DRIFT_DAY - dt.timedelta(days=1), last)
 
@@ -636,14 +645,14 @@ def silver_days(spark, sf_dir):
 @query
 def silver_track_day(spark, sf_dir):
     """One day of a track, as the drift check reads it."""
-    root = jobs.silver_root(_lake(spark, sf_dir)[0])
+    root = jobs.silver_root(_silver_lake(spark, sf_dir)[0])
     day = silver.read_day_or_empty(spark, root, "events_push", DRIFT_DAY)
     return day.select("dt", "event_id", "repo_name", "payload_variant", "commit_count")
 
 
 def _gold_query(name: str) -> None:
     def run(spark, sf_dir):
-        lake = _lake(spark, sf_dir)[0]
+        lake = _gold_lake(spark, sf_dir)
         path = f"{jobs.gold_root(lake)}/{name}"
         if name in ("daily_top_repos", "push_branch_ratio", "pull_request_review_latency"):
             return rounded(spark.read.parquet(path))
@@ -669,7 +678,7 @@ for _name in (
 @query
 def gold_csv_top_repos(spark, sf_dir):
     """A mart written as CSV with a header, read back by its declared columns."""
-    lake = _lake(spark, sf_dir)[0]
+    lake = _gold_lake(spark, sf_dir)
     mart = gold.read_mart(spark, f"{jobs.gold_root(lake)}/top_repos")
     path = scratch_path(spark, "gold-csv")
     gold.write_mart(mart, path, "csv")
@@ -682,7 +691,7 @@ def _two_drift_runs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     Where the metadata is, and the verdicts. The registry is its own, so that a query gives
     the same rows every time.
     """
-    target, source = scratch_path(spark, "drift"), jobs.silver_root(_lake(spark, sf_dir)[0])
+    target, source = scratch_path(spark, "drift"), jobs.silver_root(_silver_lake(spark, sf_dir)[0])
     jobs.run_drift(spark, target, DRIFT_DAY - dt.timedelta(days=1), silver_source=source)
     verdicts = jobs.run_drift(spark, target, DRIFT_DAY, silver_source=source)
     return jobs.metadata_root(target), verdicts

@@ -43,3 +43,17 @@ def test_lines_of_a_file_lie_in_one_part_and_the_code_limit_is_put_back(spark, t
     parts = lines.selectExpr("source_file", "_metadata.file_path AS part").distinct()
     assert lines.count() == 600
     assert parts.count() == parts.select("source_file").distinct().count()
+
+
+def test_silver_and_drift_queries_build_no_gold(spark, monkeypatch):
+    from strata.workload import queries
+
+    built = []
+    monkeypatch.setattr(queries.jobs, "load_silver", lambda lines, lake, days: {"lines": 1})
+    monkeypatch.setattr(queries.jobs, "run_gold", lambda spark, lake, days: built.append(lake))
+    monkeypatch.setattr(queries.views, "raw_lines", lambda *a: None)
+    monkeypatch.setattr(queries, "span", lambda *a: None)
+    lake, report = queries._silver_lake(spark, "/nowhere")
+    assert report == {"lines": 1} and not built
+    assert queries._gold_lake(spark, "/nowhere") == queries._gold_lake(spark, "/nowhere") == lake
+    assert built == [lake]
