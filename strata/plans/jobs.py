@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -57,36 +58,59 @@ def base_rows(
     return kept.sortWithinPartitions("dt", "event_type"), seen
 
 
-def load_silver(
+def load_base(
     lines: DataFrame,
     lake: str,
     days: Days,
     repartition: int = 0,
     coalesce: int = 0,
 ) -> dict[str, int]:
-    """Raw lines to the base table and the seventeen tracks of the days.
-
-    The text is parsed once. Base rows are sorted by event type within each file, so a
-    track, read back from the base table, skips the row groups of other types; only its
-    typed columns are shuffled, into files of a sensible size.
-
-    Returns the line counts of the run: lines, faulty ones, events that normalisation
-    dropped, events of another day, events kept.
-    """
+    """Raw lines to the base table of the days, and the line counts of ``load_silver``."""
     require_utc(lines.sparkSession)
-    spark, root = lines.sparkSession, silver_root(lake)
     base, seen = base_rows(lines, days, repartition, coalesce)
-    silver.write_days(base, root, silver.BASE, row_group_bytes=BASE_ROW_GROUP_BYTES)
+    silver.write_days(base, silver_root(lake), silver.BASE, row_group_bytes=BASE_ROW_GROUP_BYTES)
+    return {name: seen.get[name] for name in ("lines", *events.OUTCOMES)}
+
 
+def write_tracks(
+    spark: SparkSession,
+    lake: str,
+    days: Days,
+    names: Iterable[str] = tuple(TRACKS),
+    repartition: int = 0,
+    coalesce: int = 0,
+) -> None:
+    """The named tracks of the days, from the base table of the lake."""
+    require_utc(spark)
+    root = silver_root(lake)
     written = silver.read_days(spark, root, silver.BASE, days.start, days.end)
 
     def write_track(name: str) -> None:
         table = track(written, name)
         silver.write_days(table, root, name, repartition, coalesce, rebalance=True)
 
-    run_together(partial(write_track, name) for name in TRACKS)
+    run_together(partial(write_track, name) for name in names)
 
-    return {name: seen.get[name] for name in ("lines", *events.OUTCOMES)}
+
+def load_silver(
+    lines: DataFrame,
+    lake: str,
+    days: Days,
+    repartition: int = 0,
+    coalesce: int = 0,
+) -> dict[str, int]:
+    """Raw lines to the base table and the seventeen tracks of the days.
+
+    The text is parsed once. Base rows are sorted by event type within each file, so a
+    track, read back from the base table, skips the row groups of other types; only its
+    typed columns are shuffled, into files of a sensible size.
+
+    Returns the line counts of the run: lines, faulty ones, events that normalisation
+    dropped, events of another day, events kept.
+    """
+    counted = load_base(lines, lake, days, repartition, coalesce)
+    write_tracks(lines.sparkSession, lake, days, TRACKS, repartition, coalesce)
+    return counted
 
 
 def run_silver(

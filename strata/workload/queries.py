@@ -574,23 +574,41 @@ def landed_summary(spark, sf_dir):
 # --- the jobs, over tables at rest -------------------------------------------------------
 
 _silver: dict[tuple[str, str], tuple[str, dict[str, int]]] = {}
+_tracks_due: dict[tuple[str, str], list[str]] = {}
 _gold: set[tuple[str, str]] = set()
+# The tracks that the gold job reads.
+_GOLD_TRACKS = [name for name in tracks.TRACKS if name in silver.MART_COLUMNS]
 
 
 def _silver_lake(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
-    """A lake with silver of the whole archive and the job's line counts, built once per session."""
+    """A lake with silver of the whole archive and the job's line counts, built once per session.
+
+    Where gold queries have begun it, the tracks that they did not need are added.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _silver:
         lake = scratch_path(spark, "lake")
         report = jobs.load_silver(views.raw_lines(spark, sf_dir), lake, span(spark, sf_dir))
         _silver[key] = lake, report
+    elif key in _tracks_due:
+        jobs.write_tracks(spark, _silver[key][0], span(spark, sf_dir), _tracks_due[key])
+        del _tracks_due[key]
     return _silver[key]
 
 
 def _gold_lake(spark: SparkSession, sf_dir: str) -> str:
-    """The same lake with gold of its silver, for the queries that read marts."""
+    """The same lake with gold of its silver, for the queries that read marts.
+
+    Of silver it needs the base table, whole, and the tracks that the gold job reads.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
-    lake, _ = _silver_lake(spark, sf_dir)
+    if key not in _silver:
+        lake, days = scratch_path(spark, "lake"), span(spark, sf_dir)
+        report = jobs.load_base(views.raw_lines(spark, sf_dir), lake, days)
+        jobs.write_tracks(spark, lake, days, _GOLD_TRACKS)
+        _silver[key] = lake, report
+        _tracks_due[key] = [name for name in tracks.TRACKS if name not in _GOLD_TRACKS]
+    lake, _ = _silver[key]
     if key not in _gold:
         jobs.run_gold(spark, lake, span(spark, sf_dir))
         _gold.add(key)

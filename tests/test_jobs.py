@@ -401,3 +401,18 @@ def test_jobs_want_utc(spark, lake):
             jobs.run_drift(spark, lake, D1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_gold_of_the_tracks_it_reads_and_the_others_written_later(spark, landing, lake, tmp_path):
+    days, part = Days(D1, D2), str(tmp_path)
+    names = [name for name in silver.MART_COLUMNS if name != silver.BASE]
+    report = jobs.load_base(bronze.read_days(spark, landing, D1, D2), part, days)
+    jobs.write_tracks(spark, part, days, names)
+    assert sorted(os.listdir(jobs.silver_root(part))) == sorted([silver.BASE, *names])
+    assert len(jobs.run_gold(spark, part, days)) == 8
+    jobs.write_tracks(spark, part, days, [name for name in jobs.TRACKS if name not in names])
+    assert report["lines"] == sum(report[outcome] for outcome in jobs.events.OUTCOMES)
+    for name in (silver.BASE, *jobs.TRACKS):
+        whole, later = (silver.read_days(spark, jobs.silver_root(at), name, D1, D2) for at in (lake, part))
+        assert whole.count() == later.count()
+        assert whole.drop("source_file").exceptAll(later.drop("source_file")).count() == 0

@@ -57,3 +57,24 @@ def test_silver_and_drift_queries_build_no_gold(spark, monkeypatch):
     assert report == {"lines": 1} and not built
     assert queries._gold_lake(spark, "/nowhere") == queries._gold_lake(spark, "/nowhere") == lake
     assert built == [lake]
+
+
+def test_gold_queries_write_only_tracks_that_gold_reads_and_silver_queries_add_the_rest(spark, monkeypatch):
+    from strata.operators.tracks import TRACKS
+    from strata.workload import queries
+
+    begun, written, built = [], [], []
+    monkeypatch.setattr(queries.jobs, "load_base", lambda lines, lake, days: begun.append(lake) or {"lines": 1})
+    monkeypatch.setattr(queries.jobs, "write_tracks", lambda spark, lake, days, names: written.append((lake, list(names))))
+    monkeypatch.setattr(queries.jobs, "run_gold", lambda spark, lake, days: built.append(lake))
+    monkeypatch.setattr(queries.views, "raw_lines", lambda *a: None)
+    monkeypatch.setattr(queries, "span", lambda *a: None)
+    lake = queries._gold_lake(spark, "/nowhere/gold")
+    assert queries._gold_lake(spark, "/nowhere/gold") == lake
+    needed = {name for name in queries.silver.MART_COLUMNS if name != "events_base"}
+    assert len(written) == 1 and written[0][0] == lake and set(written[0][1]) == needed
+    assert queries._silver_lake(spark, "/nowhere/gold") == (lake, {"lines": 1})
+    assert queries._silver_lake(spark, "/nowhere/gold") == (lake, {"lines": 1})
+    assert queries._gold_lake(spark, "/nowhere/gold") == lake
+    assert begun == built == [lake] and [where for where, _ in written] == [lake, lake]
+    assert sorted(written[0][1] + written[1][1]) == sorted(TRACKS)
